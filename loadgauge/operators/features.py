@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..config import FEATURES, FeatureConfig, interval_minutes
+from ..config import FEATURES, LAG_FEATURES, ROLL_FEATURES, FeatureConfig, interval_minutes
 from ..functions.calendar import calendar_columns
 from ..functions.timegrid import minute_index
 from .blocks import BLOCK, attach, home_rows, time_blocks
 
 WEEK = 7 * 1440
+LAG_COLUMNS, ROLL_COLUMNS = list(LAG_FEATURES), list(ROLL_FEATURES)
 
 
 def calendar_features(df: DataFrame) -> DataFrame:

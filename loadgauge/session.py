@@ -21,6 +21,8 @@ def build_session(master: str = "local[*]", app: str = "loadgauge", **conf) -> S
         "spark.driver.memory": "8g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # No stack inspection per column expression; it costs more than planning does.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(master).appName(app)

@@ -17,55 +17,53 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _fields(lines: DataFrame, value: str) -> DataFrame:
-    """Add ``_f``, the five fields of a line in log format and NULL for other lines.
+    """Add ``_f``, the five fields of a line in log format and NULL for other lines, and ``_bytes``.
 
-    Exploding a one-element array makes ``_f`` a column of its own: filters and later expressions
-    refer to it instead of repeating the regular expression, which so runs once per line.
+    The regular expression is most of the work on a log, so it must run once per line.  Exploding a
+    one-element array makes its result a column of its own, which filters refer to and do not repeat.
     """
-    line = G.readable(F.col(value))
-    return lines.withColumn("_f", F.explode(F.array(F.when(G.is_record(line), G.record_fields(line)))))
+    line, unfolded = F.col("_line"), F.col("_unfolded")
+    return (
+        lines.withColumn("_line", G.readable(F.col(value)))
+        .withColumn("_unfolded", F.explode(F.array(G.unfold(line))))
+        .withColumn("_f", F.when(unfolded != line, F.split(unfolded, "\n")))
+        .withColumn("_bytes", G.bytes_count(_field(4)))
+    )
 
 
 def _field(i: int) -> Column:
     return F.get(F.col("_f"), F.lit(i))
 
 
+def _records(lines: DataFrame, value: str, keep: tuple[str, ...], name: str, time: Column) -> DataFrame:
+    record = F.struct(
+        _field(0).alias("host"),
+        time.alias(name),
+        _field(2).alias("request"),
+        _field(3).cast("int").alias("status"),
+        F.col("_bytes").alias("bytes"),
+    )
+    # Exploded again, so that conditions on the record's columns do not reach back into its making.
+    found = F.explode(F.when(F.col("_bytes").isNotNull(), F.array(record)))
+    return _fields(lines, value).withColumn("_time", _field(1)).select(*keep, found.alias("_r")).select(*keep, "_r.*")
+
+
 def parse_lines(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """(host, timestamp_text, request, status, bytes) of every line in log format.
 
     Everything is built-in columns on the scan's own tasks.  ``keep`` names further columns of
     ``lines`` to carry along.
     """
-    size = G.bytes_count(_field(4))
-    return (
-        _fields(lines, value)
-        .filter(F.col("_f").isNotNull() & size.isNotNull())
-        .select(
-            *keep,
-            _field(0).alias("host"),
-            _field(1).alias("timestamp_text"),
-            _field(2).alias("request"),
-            _field(3).cast("int").alias("status"),
-            size.alias("bytes"),
-        )
-    )
-
-
-def normalize(parsed: DataFrame) -> DataFrame:
-    """Replace the time text by wall-clock time; rows whose time is no time stay, with NULL."""
-    return parsed.withColumn("timestamp_text", G.normalize_time(F.col("timestamp_text"))).withColumnRenamed(
-        "timestamp_text", "timestamp"
-    )
+    return _records(lines, value, keep, "timestamp_text", F.col("_time"))
 
 
 def access_log(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Lines -> access_log rows."""
-    return normalize(parse_lines(lines, value, keep))
+    """Lines -> access_log rows; a record whose time is no time stays, with NULL."""
+    return _records(lines, value, keep, "timestamp", G.normalize_time(F.col("_time")))
 
 
 def _reason() -> Column:
-    unreadable = G.bytes_count(_field(4)).isNull()
-    return F.when(F.col("_f").isNull(), NO_MATCH).when(unreadable, BAD_BYTES)
+    return F.when(F.col("_f").isNull(), NO_MATCH).when(F.col("_bytes").isNull(), BAD_BYTES)
 
 
 def rejects(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -27,7 +27,7 @@ WARMUP_ROWS_COMPAT = {"1min": 1440, "5min": 288, "15min": 288}
 def interval_minutes(interval: str) -> int:
     """``'15min'`` -> 15.  The interval must divide an hour, so that every bucket edge is on one grid."""
     digits = interval.removesuffix("min")
-    if not digits.isdigit() or int(digits) == 0 or 60 % int(digits):
+    if digits == interval or not digits.isdigit() or int(digits) == 0 or 60 % int(digits):
         raise ValueError(f"interval must be 'Nmin' with N dividing 60, got {interval!r}")
     return int(digits)
 

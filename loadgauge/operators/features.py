@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import FEATURES, LAG_FEATURES, ROLL_FEATURES, FeatureConfig, interval_minutes
 from ..functions.calendar import calendar_columns
-from ..functions.timegrid import minute_index
+from ..functions.timegrid import left_edge, minute_index
 from .blocks import BLOCK, attach, home_rows, time_blocks
 
 WEEK = 7 * 1440
+ROLL = 4 * 60
 LAG_COLUMNS, ROLL_COLUMNS = list(LAG_FEATURES), list(ROLL_FEATURES)
 
 
@@ -26,34 +27,67 @@ def lag_rolling_features(
 
     Frames are ranges of time, not of rows: a bucket missing from ``df`` leaves a NULL lag and voids
     the rolling window, exactly as if the grid had been restored with NULLs, without building the grid.
-    One shuffle by (series, time block) and one sort serve all frames; no task holds more than
-    ``block_days`` + 7 days of one series.
+    One shuffle by (series, time block) serves all of it; no task holds more than ``block_days`` + 7
+    days of one series.
+
+    A sliding frame is summed anew for every row, 240 rows at one-minute buckets.  So the 4 hours are
+    put together from two running aggregates instead: time is cut into pieces of 4 hours, and the 4
+    hours before a bucket are the end of one piece and the beginning of the next.
     """
     minutes = interval_minutes(interval)
     per_hour = 60 // minutes
     target = F.col(cfg.target)
     # Rows with a NULL target are absent values.
     rows = df.filter(target.isNotNull()).withColumn("_minute", minute_index(F.col("ds")))
+    cut = time_blocks(rows, WEEK, cfg.block_days).repartition(*keys, BLOCK)
+    minute = F.col("_minute")
+    piece = Window.partitionBy(*keys, BLOCK, "_piece")
+
+    def running(order):
+        so_far = piece.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return F.struct(
+            F.count(target).over(so_far).alias("n"),
+            F.avg(target).over(so_far).alias("mean"),
+            F.var_pop(target).over(so_far).alias("var"),
+            F.max(target).over(so_far).alias("top"),
+        )
+
+    halves = cut.withColumn("_piece", left_edge(minute, ROLL)).withColumns(
+        {"_begin": running(minute.asc()), "_end": running(minute.desc())}
+    )
     order = Window.partitionBy(*keys, BLOCK).orderBy("_minute")
 
-    def back(steps: int):
-        return F.max(target).over(order.rangeBetween(-steps * minutes, -steps * minutes))
+    def back(span: int, value=target):
+        return F.first(value).over(order.rangeBetween(-span, -span))
 
-    rolling = order.rangeBetween(-4 * per_hour * minutes, -minutes)
-    whole = F.count(target).over(rolling) == 4 * per_hour
-    # All in one select: one Window operator chain over one sort.
-    built = time_blocks(rows, WEEK, cfg.block_days).withColumns(
+    built = halves.withColumns(
+        {
+            "lag_1step": back(minutes),
+            "lag_1h": back(60),
+            "lag_24h": back(24 * 60),
+            "lag_7d": back(WEEK),
+            "_a": back(ROLL, F.col("_end")),
+            "_b": back(minutes, F.col("_begin")),
+        }
+    )
+    a, b = F.col("_a"), F.col("_b")
+    # On a piece's first bucket the piece before is all there is to the window.
+    alone = minute == F.col("_piece")
+    size = F.lit(float(4 * per_hour))
+    whole = F.when(alone, a["n"]).otherwise(a["n"] + b["n"]) == 4 * per_hour
+    mean = F.when(alone, a["mean"]).otherwise((a["n"] * a["mean"] + b["n"] * b["mean"]) / size)
+    gap = b["mean"] - a["mean"]
+    squares = F.when(alone, a["n"] * a["var"]).otherwise(
+        a["n"] * a["var"] + b["n"] * b["var"] + gap * gap * a["n"] * b["n"] / size
+    )
+    rolled = built.withColumns(
         {
-            "lag_1step": back(1),
-            "lag_1h": back(per_hour),
-            "lag_24h": back(24 * per_hour),
-            "lag_7d": back(7 * 24 * per_hour),
-            "roll_mean_4h": F.when(whole, F.avg(target).over(rolling)),
-            "roll_std_4h": F.when(whole, F.stddev_samp(target).over(rolling)),
-            "roll_max_4h": F.when(whole, F.max(target).over(rolling)),
+            "roll_mean_4h": F.when(whole, mean),
+            "roll_std_4h": F.when(whole, F.sqrt(squares / (size - 1))),
+            "roll_max_4h": F.when(whole, F.when(alone, a["top"]).otherwise(F.greatest(a["top"], b["top"]))),
         }
     )
-    return home_rows(built).drop("_minute")
+    return home_rows(rolled).drop("_minute", "_piece", "_begin", "_end", "_a", "_b")
 
 
 def clean_features(df: DataFrame, target: str = "intensity") -> DataFrame:

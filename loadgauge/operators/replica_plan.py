@@ -33,7 +33,7 @@ STABLE = "stable"
 _LIMITS = ["_low", "_high", "_cool"]
 
 
-def _block_maps(keys: list[str], size: int):
+def _block_maps(keys: list[str]):
     """Pandas function: the rows of one block -> its exit state for every entry state.
 
     A state is coded (replicas - low) * (cooldown + 1) + counter.  Entry states that have run
@@ -46,22 +46,36 @@ def _block_maps(keys: list[str], size: int):
         pdf = pdf.sort_values(POSITION)
         head = pdf.iloc[0]
         low, high, cool = int(head["_low"]), int(head["_high"]), int(head["_cool"])
-        block, final = int(head[BLOCK]), int(head[SERIES_ROWS] - 1) // size
+        block = int(head[BLOCK])
         codes = np.empty(0, dtype=np.int64)
-        if block < final:
+        if not head["_final"]:
             states = (high - low + 1) * (cool + 1)
             every = np.arange(states if block else 1)
             replicas, counter = low + every // (cool + 1), every % (cool + 1)
             group = every
-            for i, (target, alarm) in enumerate(zip(pdf["_target"].to_numpy(), pdf["_alarm"].to_numpy())):
+            steps = zip(pdf["_target"].tolist(), pdf["_alarm"].tolist())
+            for i, (target, alarm) in enumerate(steps):
                 goal = np.minimum(high, replicas * 3 // 2) if alarm else np.full_like(replicas, target)
                 out, held = goal > replicas, (goal < replicas) & (counter > 0)
                 counter = np.where(out, cool, np.maximum(counter - 1, 0))
                 replicas = np.where(held, replicas, goal)
-                if i % 16 == 0 and replicas.size > 1:
+                if i % 4 == 3:
                     merged, where = np.unique((replicas - low) * (cool + 1) + counter, return_inverse=True)
                     replicas, counter = low + merged // (cool + 1), merged % (cool + 1)
                     group = where[group]
+                    if merged.size == 1:
+                        break
+            # From here on there is one state, if any rows are left.
+            one, wait = int(replicas[0]), int(counter[0])
+            for target, alarm in steps:
+                goal = min(high, one * 3 // 2) if alarm else target
+                if goal > one:
+                    one, wait = goal, cool
+                else:
+                    one = goal if wait == 0 else one
+                    wait = max(wait - 1, 0)
+            if replicas.size == 1:
+                replicas, counter = np.array([one]), np.array([wait])
             codes = ((replicas - low) * (cool + 1) + counter)[group]
         out = pdf.iloc[:1][[*keys, BLOCK, *_LIMITS]].copy()
         out["_codes"] = [codes.astype("int32")]
@@ -122,14 +136,16 @@ def replica_plan(
 ) -> DataFrame:
     """Add replicas, action and reason to rows that have a target, a position and a ``policy``.
 
-    Where ``alarm`` is TRUE the target is half again the current replicas instead.
+    Where ``alarm`` is TRUE the target is half again the current replicas instead.  The policy is used
+    up: a struct per row is dear to hand to Python and back, and cheap to attach again.
     """
     keys = list(keys)
-    carried = [c for c in df.columns]
+    carried = [c for c in df.columns if c not in ("policy", SERIES_ROWS, alarm)]
     rows = row_blocks(df, 0, block_rows).drop(HOME)
     rows = rows.select(
         *carried,
         BLOCK,
+        (F.floor((F.col(SERIES_ROWS) - 1) / block_rows).cast("int") == F.col(BLOCK)).alias("_final"),
         F.col(target).cast("int").alias("_target"),
         (F.coalesce(F.col(alarm), F.lit(False)) if alarm else F.lit(False)).alias("_alarm"),
         F.col("policy.min_replicas").alias("_low"),
@@ -143,7 +159,7 @@ def replica_plan(
         return T.StructType([*[schema[n] for n in names], *more])
 
     maps = rows.groupBy(*keys, BLOCK).applyInPandas(
-        _block_maps(keys, block_rows),
+        _block_maps(keys),
         fields([*keys, BLOCK, *_LIMITS], T.StructField("_codes", T.ArrayType(integer))),
     )
     if keys:

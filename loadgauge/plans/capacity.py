@@ -11,7 +11,7 @@ from ..functions import capacity as C
 from ..functions.load import clip_nonnegative
 from ..operators import finance
 from ..operators.anomaly import BLOCK_ROWS, look_back, previous_demand
-from ..operators.blocks import POSITION, SERIES_ROWS, with_position
+from ..operators.blocks import POSITION, with_position
 from ..operators.metrics import horizon_limit
 from ..operators.policy import of, policy_join, with_policy
 from ..operators.replica_plan import replica_plan
@@ -67,7 +67,7 @@ def strategy_backtest(
     )
     long = ready.withColumn("_s", F.explode(options)).select("*", "_s.strategy", "_s.target", "_s.alarm").drop("_s")
     plan = replica_plan(long, [*keys, "strategy"], "target", "alarm", block_rows)
-    return finance.with_cost(plan)
+    return finance.with_cost(_policies(plan, keys, policy, overrides))
 
 
 BACKTEST = ["ds", "y", "is_anomaly", "strategy", "replicas", "cost", "dropped"]
@@ -93,7 +93,7 @@ def scaling_recommendation(
     """Replica plan with actions and reasons for forecast points (a stored table)."""
     rows = _policies(with_position(points, keys), keys, policy, overrides).withColumn("target", predictive())
     plan = replica_plan(rows, keys, "target", None, block_rows)
-    return plan.withColumnRenamed("replicas", "recommended_replicas").drop("target", POSITION, SERIES_ROWS)
+    return plan.withColumnRenamed("replicas", "recommended_replicas").drop("target", POSITION)
 
 
 def prorated_costs(
@@ -108,11 +108,11 @@ def prorated_costs(
     rows = with_position(points, keys)
     before = with_policy(previous_demand(look_back(rows, keys, window=2), "yhat"), policy)
     simple = C.reactive_plan_simple(F.col("previous"), of("server_capacity"), of("reactive_buffer"))
-    columns = [*keys, "ds", "y", "yhat", "replicas", "policy", "strategy"]
+    columns = [*keys, "ds", "y", "yhat", "replicas", "strategy"]
     reactive_rows = before.withColumns({"replicas": simple, "strategy": F.lit(finance.REACTIVE)}).select(*columns)
     predictive_rows = (
         plan.withColumnRenamed("recommended_replicas", "replicas")
         .withColumn("strategy", F.lit(finance.PREDICTIVE))
         .select(*columns)
     )
-    return finance.with_cost(reactive_rows.unionByName(predictive_rows), hours)
+    return finance.with_cost(with_policy(reactive_rows.unionByName(predictive_rows), policy), hours)

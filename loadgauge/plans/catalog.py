@@ -21,7 +21,7 @@ from ..config import (
 from ..functions import capacity as C, load as L, logline as G
 from ..functions.timegrid import minute_index, to_timestamp
 from ..operators import anomaly, buckets as B, features as FE, finance, forecast as FC, metrics as M, reports as R, scaling as S
-from ..operators.blocks import POSITION, SERIES_ROWS, with_position
+from ..operators.blocks import POSITION, with_position
 from ..operators.policy import of, policy_join, with_policy
 from ..session import new_path, stage
 from ..sources import access_log as AL, adapters as A, tables as TB
@@ -490,7 +490,7 @@ def horizon_limit(spark, d):
 
 @query
 def zoom_slice(spark, d):
-    table = stage(backtest(spark, d), "backtest").drop(POSITION, SERIES_ROWS)
+    table = stage(backtest(spark, d), "backtest").drop(POSITION)
     zoomed = M.horizon_limit(table, 288, ["site", "strategy"])
     return rounded(zoomed.select("site", "strategy", "ds", "y", "replicas"))
 

@@ -104,4 +104,4 @@ def test_dedup_keeps_the_latest(spark):
 def test_one_shuffle_serves_all_windows(spark):
     df = FE.raw_features(frame(spark, series(48 * 9), 1), "30min", ["site"])
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 3

@@ -105,3 +105,33 @@ class BoostedTreeConfig:
 class SequenceConfig:
     n_lags: int = 30
     ridge: float = 1.0
+
+
+@dataclass(frozen=True)
+class Settings:
+    """Everything a run of the jobs needs to know."""
+
+    intervals: tuple[str, ...] = INTERVALS
+    load: LoadConfig = LoadConfig()
+    features: FeatureConfig = FeatureConfig()
+    policy: ScalingPolicy = ScalingPolicy()
+    seasonal: SeasonalConfig = SeasonalConfig()
+    trees: BoostedTreeConfig = BoostedTreeConfig()
+    sequence: SequenceConfig = SequenceConfig()
+
+    @classmethod
+    def from_dict(cls, values: dict) -> "Settings":
+        """Sections named like the fields above, each with the fields of its class; the rest keeps its default."""
+        known = {f.name: f.default for f in fields(cls)}
+        unknown = set(values) - set(known)
+        if unknown:
+            raise ValueError(f"unknown settings: {sorted(unknown)}")
+        given = {}
+        for name, value in values.items():
+            if name == "intervals":
+                given[name] = tuple(value)
+            else:
+                if "outages" in value:
+                    value = {**value, "outages": tuple(tuple(o) for o in value["outages"])}
+                given[name] = replace(known[name], **value)
+        return cls(**given)

@@ -76,7 +76,7 @@ def attach(df: DataFrame, per_series: DataFrame, keys: Sequence[str]) -> DataFra
     return df.join(right, condition, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def with_position(df: DataFrame, keys: Sequence[str], ds: str = "ds", days: int = 28) -> DataFrame:
+def with_position(df: DataFrame, keys: Sequence[str] = (), ds: str = "ds", days: int = 28) -> DataFrame:
     """Number each series' rows from 0 in time order, and give the series' row count.
 
     Rows are counted per (series, time block); adding up the few block counts of a series gives where

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import FEATURES, LAG_FEATURES, ROLL_FEATURES, FeatureConfig, interval_minutes
 from ..functions.calendar import calendar_columns
@@ -13,6 +13,8 @@ from .blocks import BLOCK, attach, home_rows, time_blocks
 
 WEEK = 7 * 1440
 ROLL = 4 * 60
+# Rows up to which going through a frame costs less than two more sorts.
+SHORT_FRAME = 16
 LAG_COLUMNS, ROLL_COLUMNS = list(LAG_FEATURES), list(ROLL_FEATURES)
 
 
@@ -20,30 +22,40 @@ def calendar_features(df: DataFrame) -> DataFrame:
     return df.withColumns(calendar_columns(F.col("ds")))
 
 
-def lag_rolling_features(
-    df: DataFrame, interval: str, keys: Sequence[str] = (), cfg: FeatureConfig = FeatureConfig()
-) -> DataFrame:
-    """Lags of 1 bucket, 1 h, 24 h and 7 d, and mean, sample std and max of the 4 h before a bucket.
+def _series_order(keys: Sequence[str]):
+    return Window.partitionBy(*keys, BLOCK).orderBy("_minute")
+
+
+def _lags(target: Column, keys: Sequence[str], minutes: int) -> dict[str, Column]:
+    order = _series_order(keys)
+    spans = zip(LAG_COLUMNS, (minutes, 60, 24 * 60, WEEK))
+    return {name: F.first(target).over(order.rangeBetween(-span, -span)) for name, span in spans}
 
-    Frames are ranges of time, not of rows: a bucket missing from ``df`` leaves a NULL lag and voids
-    the rolling window, exactly as if the grid had been restored with NULLs, without building the grid.
-    One shuffle by (series, time block) serves all of it; no task holds more than ``block_days`` + 7
-    days of one series.
 
-    A sliding frame is summed anew for every row, 240 rows at one-minute buckets.  So the 4 hours are
-    put together from two running aggregates instead: time is cut into pieces of 4 hours, and the 4
-    hours before a bucket are the end of one piece and the beginning of the next.
+def _sliding(rows: DataFrame, target: Column, keys: Sequence[str], minutes: int) -> DataFrame:
+    """Lags and rolling statistics from one sort, the frame gone through for every row."""
+    frame = _series_order(keys).rangeBetween(-ROLL, -minutes)
+    whole = F.count(target).over(frame) == ROLL // minutes
+    return rows.withColumns(
+        {
+            **_lags(target, keys, minutes),
+            "roll_mean_4h": F.when(whole, F.avg(target).over(frame)),
+            "roll_std_4h": F.when(whole, F.stddev_samp(target).over(frame)),
+            "roll_max_4h": F.when(whole, F.max(target).over(frame)),
+        }
+    )
+
+
+def _pieced(rows: DataFrame, target: Column, keys: Sequence[str], minutes: int) -> DataFrame:
+    """The same from running aggregates, at a cost per row that does not grow with the frame.
+
+    Time is cut into pieces of 4 hours.  The 4 hours before a bucket are the end of one piece and the
+    beginning of the next; both are running aggregates, one forward and one backward.
     """
-    minutes = interval_minutes(interval)
-    per_hour = 60 // minutes
-    target = F.col(cfg.target)
-    # Rows with a NULL target are absent values.
-    rows = df.filter(target.isNotNull()).withColumn("_minute", minute_index(F.col("ds")))
-    cut = time_blocks(rows, WEEK, cfg.block_days).repartition(*keys, BLOCK)
     minute = F.col("_minute")
     piece = Window.partitionBy(*keys, BLOCK, "_piece")
 
-    def running(order):
+    def running(order: Column) -> Column:
         so_far = piece.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return F.struct(
             F.count(target).over(so_far).alias("n"),
@@ -52,42 +64,55 @@ def lag_rolling_features(
             F.max(target).over(so_far).alias("top"),
         )
 
-    halves = cut.withColumn("_piece", left_edge(minute, ROLL)).withColumns(
+    # One shuffle by block serves the pieces of a block as well.
+    halves = rows.repartition(*keys, BLOCK).withColumn("_piece", left_edge(minute, ROLL)).withColumns(
         {"_begin": running(minute.asc()), "_end": running(minute.desc())}
     )
-    order = Window.partitionBy(*keys, BLOCK).orderBy("_minute")
-
-    def back(span: int, value=target):
-        return F.first(value).over(order.rangeBetween(-span, -span))
-
+    order = _series_order(keys)
     built = halves.withColumns(
         {
-            "lag_1step": back(minutes),
-            "lag_1h": back(60),
-            "lag_24h": back(24 * 60),
-            "lag_7d": back(WEEK),
-            "_a": back(ROLL, F.col("_end")),
-            "_b": back(minutes, F.col("_begin")),
+            **_lags(target, keys, minutes),
+            "_a": F.first("_end").over(order.rangeBetween(-ROLL, -ROLL)),
+            "_b": F.first("_begin").over(order.rangeBetween(-minutes, -minutes)),
         }
     )
     a, b = F.col("_a"), F.col("_b")
     # On a piece's first bucket the piece before is all there is to the window.
     alone = minute == F.col("_piece")
-    size = F.lit(float(4 * per_hour))
-    whole = F.when(alone, a["n"]).otherwise(a["n"] + b["n"]) == 4 * per_hour
+    size = F.lit(float(ROLL // minutes))
+    whole = F.when(alone, a["n"]).otherwise(a["n"] + b["n"]) == ROLL // minutes
     mean = F.when(alone, a["mean"]).otherwise((a["n"] * a["mean"] + b["n"] * b["mean"]) / size)
     gap = b["mean"] - a["mean"]
     squares = F.when(alone, a["n"] * a["var"]).otherwise(
         a["n"] * a["var"] + b["n"] * b["var"] + gap * gap * a["n"] * b["n"] / size
     )
-    rolled = built.withColumns(
+    top = F.when(alone, a["top"]).otherwise(F.greatest(a["top"], b["top"]))
+    return built.withColumns(
         {
             "roll_mean_4h": F.when(whole, mean),
             "roll_std_4h": F.when(whole, F.sqrt(squares / (size - 1))),
-            "roll_max_4h": F.when(whole, F.when(alone, a["top"]).otherwise(F.greatest(a["top"], b["top"]))),
+            "roll_max_4h": F.when(whole, top),
         }
-    )
-    return home_rows(rolled).drop("_minute", "_piece", "_begin", "_end", "_a", "_b")
+    ).drop("_piece", "_begin", "_end", "_a", "_b")
+
+
+def lag_rolling_features(
+    df: DataFrame, interval: str, keys: Sequence[str] = (), cfg: FeatureConfig = FeatureConfig()
+) -> DataFrame:
+    """Lags of 1 bucket, 1 h, 24 h and 7 d, and mean, sample std and max of the 4 h before a bucket.
+
+    Frames are ranges of time, not of rows: a bucket missing from ``df`` leaves a NULL lag and voids
+    the rolling window, exactly as if the grid had been restored with NULLs, without building the grid.
+    One shuffle by (series, time block) serves all of it; no task holds more than ``block_days`` + 7
+    days of one series.
+    """
+    minutes = interval_minutes(interval)
+    target = F.col(cfg.target)
+    # Rows with a NULL target are absent values.
+    rows = df.filter(target.isNotNull()).withColumn("_minute", minute_index(F.col("ds")))
+    rolling = _sliding if ROLL // minutes <= SHORT_FRAME else _pieced
+    built = rolling(time_blocks(rows, WEEK, cfg.block_days), target, keys, minutes)
+    return home_rows(built).drop("_minute")
 
 
 def clean_features(df: DataFrame, target: str = "intensity") -> DataFrame:

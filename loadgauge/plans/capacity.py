@@ -97,13 +97,18 @@ def scaling_recommendation(
 
 
 def prorated_costs(
-    points: DataFrame, interval: str, keys: Sequence[str] = (), policy: ScalingPolicy = ScalingPolicy()
+    points: DataFrame,
+    interval: str,
+    keys: Sequence[str] = (),
+    policy: ScalingPolicy = ScalingPolicy(),
+    hours: float | None = None,
 ) -> DataFrame:
     """Recommended and simple reactive plan side by side, priced per hour, one row per strategy.
 
-    ``points`` is a stored table of forecast points.
+    ``points`` is a stored table of forecast points.  ``hours`` replaces the length of a bucket; older
+    reports of 15-minute plans were priced with 5 / 60.
     """
-    hours = interval_minutes(interval) / 60
+    hours = interval_minutes(interval) / 60 if hours is None else hours
     plan = scaling_recommendation(points, keys, policy)
     rows = with_position(points, keys)
     before = with_policy(previous_demand(look_back(rows, keys, window=2), "yhat"), policy)

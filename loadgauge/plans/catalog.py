@@ -613,6 +613,18 @@ def batch_scoring(spark, d):
     return rounded(FC.predict_scaled(forecaster, stored, scaler, M.horizon_limit(test, 200, SITE), SITE))
 
 
+@query
+def save_load_model(spark, d):
+    """Forecasts of a model before it is stored and after it is loaded again."""
+    forecaster, model, stats, _, test = _fitted(spark, d, FC.AdditiveSeasonal)
+    root = new_path(spark, "models")
+    FC.save_model(model, stats, root, forecaster.name, INTERVAL)
+    stored, scaler = FC.load_model(spark, root, forecaster.name, INTERVAL)
+    now = FC.predict_scaled(forecaster, model, stats, test, SITE).select("site", "ds", "yhat")
+    later = FC.predict_scaled(forecaster, stored, scaler, test, SITE).select("site", "ds", F.col("yhat").alias("stored_yhat"))
+    return rounded(now.join(later, ["site", "ds"], "inner"))
+
+
 # --- capacity ----------------------------------------------------------------------------------
 
 

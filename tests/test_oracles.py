@@ -7,6 +7,7 @@ from check_oracles import compare, connect
 
 NO_SQL = {
     "additive_seasonal_forecast", "boosted_tree_forecast", "feature_importance", "sequence_regression", "batch_scoring",
+    "save_load_model",
 }
 
 

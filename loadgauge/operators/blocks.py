@@ -10,9 +10,9 @@ that its first rows look back on, and let the window run per (series, block):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions.timegrid import minute_index
 
@@ -52,14 +52,6 @@ def home_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(HOME) == F.col(BLOCK)).drop(HOME, BLOCK)
 
 
-def same_series(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition over the series columns that also pairs NULL with NULL."""
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
-
-
 def attach(df: DataFrame, per_series: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of a one-row-per-series table to every row of ``df``.
 
@@ -76,6 +68,24 @@ def attach(df: DataFrame, per_series: DataFrame, keys: Sequence[str]) -> DataFra
     return df.join(right, condition, "left").drop(*[f"_r_{k}" for k in keys])
 
 
+def with_block_values(
+    df: DataFrame, per_block: DataFrame, keys: Sequence[str], order: str, **columns: Callable[[WindowSpec], Column]
+) -> DataFrame:
+    """Bring the columns of a one-row-per-block table to the rows of their (series, block).
+
+    The block rows go through the shuffle the rows need anyway and sort ahead of them, so no join is
+    needed.  ``columns`` adds further columns over the same window, in which a block's row comes first.
+    """
+    values = [c for c in per_block.columns if c not in (*keys, BLOCK)]
+    both = df.withColumn("_head", F.lit(False)).unionByName(
+        per_block.withColumn("_head", F.lit(True)), allowMissingColumns=True
+    )
+    window = Window.partitionBy(*keys, BLOCK).orderBy(F.desc("_head"), order)
+    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
+    built = {c: F.first(c).over(so_far) for c in values} | {n: make(window) for n, make in columns.items()}
+    return both.withColumns(built).filter(~F.col("_head")).drop("_head")
+
+
 def with_position(df: DataFrame, keys: Sequence[str] = (), ds: str = "ds", days: int = 28) -> DataFrame:
     """Number each series' rows from 0 in time order, and give the series' row count.
 
@@ -94,13 +104,9 @@ def with_position(df: DataFrame, keys: Sequence[str] = (), ds: str = "ds", days:
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
         F.sum("_n").over(series).alias(SERIES_ROWS),
     )
-    inside = Window.partitionBy(*keys, BLOCK).orderBy(ds)
-    numbered = cut.withColumn("_at", F.row_number().over(inside))
-    return (
-        attach(numbered, starts, [*keys, BLOCK])
-        .withColumn(POSITION, F.col("_start") + F.col("_at") - 1)
-        .drop("_start", "_at", BLOCK)
-    )
+    numbered = with_block_values(cut, starts, keys, ds, _at=lambda window: F.row_number().over(window))
+    # The block's own row is number 1.
+    return numbered.withColumn(POSITION, F.col("_start") + F.col("_at") - 2).drop("_start", "_at", BLOCK)
 
 
 def in_block(keys: Sequence[str]):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import capacity as C
-from .blocks import BLOCK, POSITION, attach, in_block
+from .blocks import BLOCK, POSITION, with_block_values
 from .policy import of
 
 REACTIVE, PREDICTIVE = "Reactive", "Predictive"
@@ -77,13 +77,14 @@ def running_total(df: DataFrame, column: str, name: str, keys: Sequence[str] = (
     earlier = series.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     sums = cut.groupBy(*keys, BLOCK).agg(F.sum(column).alias("_sum"))
     opening = sums.select(*keys, BLOCK, F.coalesce(F.sum("_sum").over(earlier), F.lit(0.0)).alias("_opening"))
-    inside = in_block(keys).rowsBetween(Window.unboundedPreceding, 0)
-    running = cut.withColumn("_inside", F.sum(column).over(inside))
-    return (
-        attach(running, opening, [*keys, BLOCK])
-        .withColumn(name, F.col("_opening") + F.col("_inside"))
-        .drop("_opening", "_inside", BLOCK)
+    running = with_block_values(
+        cut,
+        opening,
+        keys,
+        POSITION,
+        _inside=lambda window: F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, 0)),
     )
+    return running.withColumn(name, F.col("_opening") + F.col("_inside")).drop("_opening", "_inside", BLOCK)
 
 
 def unpivot_strategies(wide: DataFrame, labels: dict[str, str], name: str, keys: Sequence[str] = ()) -> DataFrame:

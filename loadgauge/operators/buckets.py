@@ -48,7 +48,8 @@ def spine(bounds: DataFrame, keys: Sequence[str], minutes: Column) -> DataFrame:
     )
 
 
-def _measures(counts: DataFrame, keys: Sequence[str], cfg: LoadConfig) -> DataFrame:
+def measures(counts: DataFrame, keys: Sequence[str], cfg: LoadConfig) -> DataFrame:
+    """Sums per bucket edge -> load columns."""
     y, total = F.col("y"), F.col("total_bytes")
     return counts.select(
         *keys,
@@ -105,7 +106,7 @@ def load_all_intervals(
         .groupBy(*group, "_edge")
         .agg(*[F.sum(c).alias(c) for c in COUNTS])
     )
-    return _measures(counts, group, cfg)
+    return measures(counts, group, cfg)
 
 
 def exclude_outages(load: DataFrame, cfg: LoadConfig = LoadConfig()) -> DataFrame:

@@ -726,6 +726,14 @@ def stream_load(spark, d):
     return rounded(SL.run_available(SL.stream_load(stream, INTERVAL, SITE, "10 minutes", CFG), "stream-load"))
 
 
+@query
+def stream_fill(spark, d):
+    """Closed buckets from one stream, with the empty ones added by a second."""
+    log = _as_stream(A.events_log(spark, d), "log-stream")
+    closed = SL.run_available(SL.stream_load(log, INTERVAL, SITE, "10 minutes", CFG), "stream-load")
+    return rounded(SL.run_available(SL.stream_fill(_as_stream(closed, "load-stream"), INTERVAL, SITE, CFG), "stream-fill"))
+
+
 @query
 def stream_anomaly(spark, d):
     stream = _as_stream(day_forecast(spark, d), "forecast-stream")

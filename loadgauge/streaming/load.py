@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import LoadConfig, interval_minutes
 from ..functions import load as L
+from ..functions.timegrid import minute_index
+from ..operators import buckets as B
 from ..session import new_path
 
 
@@ -31,20 +35,40 @@ def stream_load(
             F.count_if(L.is_server_error(status)).alias("error_5xx"),
         )
     )
-    y, total = F.col("y"), F.col("total_bytes")
-    ds = F.col("window.start").cast("timestamp_ntz")
-    return counts.select(
-        *keys,
-        ds.alias("ds"),
-        "y",
-        "total_bytes",
-        F.coalesce(F.try_divide(total, y), F.lit(0.0)).alias("avg_bytes"),
-        "error_4xx",
-        "error_5xx",
-        L.error_rate(F.col("error_4xx"), F.col("error_5xx"), y).alias("error_rate"),
-        L.intensity(total, cfg.resource_weight).alias("intensity"),
-        L.in_outage(ds, cfg.outages).cast("int").alias("is_downtime"),
-    )
+    edge = minute_index(F.col("window.start").cast("timestamp_ntz"))
+    return B.measures(counts.select(*keys, edge.alias("_edge"), *B.COUNTS), keys, cfg)
+
+
+def _fill(keys: list[str], minutes: int):
+    """State: the minute of the last bucket seen."""
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).set_index("_edge").sort_index()
+        seen = state.get[0] if state.exists else int(rows.index[0]) - minutes
+        last = max(int(rows.index[-1]), seen)
+        state.update((last,))
+        # A bucket that comes late after all is passed on, not dropped.
+        edges = rows.index.union(range(seen + minutes, last + minutes, minutes))
+        counts = rows.drop(columns=keys).reindex(edges, fill_value=0)
+        counts.index.name = "_edge"
+        yield counts.reset_index().assign(**dict(zip(keys, key)))
+
+    return step
+
+
+def stream_fill(load: DataFrame, interval: str, keys: Sequence[str], cfg: LoadConfig = LoadConfig()) -> DataFrame:
+    """Add the empty buckets to a stream of closed load buckets.
+
+    A gap is filled when the bucket after it arrives, so a series reaches up to its last closed bucket
+    with requests, and up to there equals the batch table.  Buckets come in time order from batch to
+    batch, as :func:`stream_load` closes them.
+    """
+    keys = list(keys)
+    counts = load.select(*keys, minute_index(F.col("ds")).alias("_edge"), *B.COUNTS)
+    state = T.StructType([T.StructField("last", T.LongType())])
+    step = _fill(keys, interval_minutes(interval))
+    filled = counts.groupBy(*keys).applyInPandasWithState(step, counts.schema, state, "append", GroupStateTimeout.NoTimeout)
+    return B.measures(filled, keys, cfg)
 
 
 def run_available(stream: DataFrame, name: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:

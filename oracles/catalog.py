@@ -401,6 +401,13 @@ SQL["stream_load"] = select(
     body=f"""SELECT site, ds, {X.LOAD_OUT} FROM load
 WHERE y > 0 AND ds + INTERVAL 15 MINUTE <= (SELECT max("timestamp") FROM log) - INTERVAL 10 MINUTE""",
 )
+SQL["stream_fill"] = select(
+    *LOADED,
+    """closed AS (
+  SELECT site, max(ds) AS until FROM load
+  WHERE y > 0 AND ds + INTERVAL 15 MINUTE <= (SELECT max("timestamp") FROM log) - INTERVAL 10 MINUTE GROUP BY site)""",
+    body=f"SELECT site, ds, {X.LOAD_OUT} FROM load JOIN closed USING (site) WHERE ds <= until",
+)
 SQL["stream_anomaly"] = SQL["residual_anomaly"]
 SQL["stream_replica_plan"] = select(
     *FEATURES_15, DAY_FORECAST, FORECAST_STEPS, X.fold("forecast_steps"), X.ACTIONS, recursive=True,

@@ -53,6 +53,12 @@ def test_closed_buckets_equal_the_batch(spark, small):
     assert rows(got, *columns) == rows(want, *columns)
 
 
+def test_gaps_are_filled_across_batches(spark, small):
+    load = B.load_by_interval(A.events_log(spark, small), "15min", ["site"])
+    got = run(spark, load.filter("y > 0"), "ds", lambda s: SL.stream_fill(s, "15min", ["site"]), "fill")
+    assert rows(got, *load.columns) == rows(load, *load.columns)
+
+
 def test_anomalies_equal_the_batch(spark, forecast):
     got = run(spark, forecast, "ds", lambda s: ST.stream_anomaly(s, ["site"], POLICY), "anomaly")
     want = look_back(with_position(forecast, ["site"]), ["site"])

@@ -108,7 +108,7 @@ def access_log_rejects(spark, d):
 
 
 @query
-def pipeline_counts(spark, d):
+def row_counts(spark, d):
     return AL.line_counts(A.mixed_lines(spark, d))
 
 

@@ -50,7 +50,7 @@ SQL["access_log_rejects"] = select(
   SELECT CASE WHEN NOT hit THEN 'no match' WHEN f5 <> '-' AND TRY_CAST(f5 AS BIGINT) IS NULL THEN 'bytes not a number' END AS reason
   FROM fields) WHERE reason IS NOT NULL GROUP BY reason""",
 )
-SQL["pipeline_counts"] = select(
+SQL["row_counts"] = select(
     X.MIXED,
     X.parsed("mixed"),
     body="""SELECT count(*) AS lines, count(*) FILTER (hit AND good) AS parsed, count(*) FILTER (NOT hit) AS no_match,

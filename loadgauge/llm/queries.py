@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from . import byte_bpe, token_count
 from .common import read
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 
+#: Tokens a training window holds.
+TOKEN_LIMIT = 512
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -17,16 +22,26 @@ def sha_of_list(items: str) -> Column:
     return F.sha2(F.array_join(items, ",").cast("binary"), 256)
 
 
+def op5_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    made = byte_bpe.encode(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=["doc_id"], decode=True)
+    return made.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     found = contamination(read(spark, d, "documents"), read(spark, d, "benchmark"), keep=["doc_id"])
     return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha_of_list("items").alias("items_sha256"), "contaminated")
 
 
+def op9_token_count(spark: SparkSession, d: str) -> DataFrame:
+    made = token_count.token_counts(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+    return made.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     found = exact_dedup(read(spark, d, "documents").select("doc_id", "text"))
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_decontaminate, op10_exact_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_byte_bpe, op6_decontaminate, op9_token_count, op10_exact_dedup)}
 
 SQL: dict[str, str] = {}

@@ -36,7 +36,8 @@ def _split(work: DataFrame, width: int) -> DataFrame:
     )
     parts = cut.groupBy("part", "digit", "ended").agg(F.count(F.lit(1)).alias("size"), F.min("rid").alias("next"))
     shared = stage(parts.where("size > 1"), "radix-parts")
-    joined = cut.join(shared, ["part", "digit", "ended"])
+    # Sorted and merged at every size: a part may hold most of the rows, and only such joins are split by AQE.
+    joined = cut.join(shared.hint("merge"), ["part", "digit", "ended"])
     return stage(joined.select("rid", "n_points", "id", F.col("next").alias("part"), "rest", "ended"), "radix-round")
 
 
@@ -58,7 +59,7 @@ def equal_groups(rows: DataFrame, text: Column, doc_id: Column) -> DataFrame:
     # The longest text stays, then the smallest id (no id comes last), then the row read first.
     order = F.struct(-F.col("n_points"), F.col("id").isNull(), F.col("id"), F.col("rid"))
     best = members.groupBy("part").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    best = best.select("part", F.col("best.id").alias("keep_id"), F.col("best.rid").alias("keep_rid"), "group_size")
+    best = stage(best, "radix-best").select("part", F.col("best.id").alias("keep_id"), F.col("best.rid").alias("keep_rid"), "group_size")
     return members.join(best, "part").select("rid", "keep_id", "keep_rid", "group_size")
 
 

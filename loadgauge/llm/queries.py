@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, token_count
+from . import byte_bpe, chat_format as chat, secret_scan, token_count
 from .common import read
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
@@ -22,6 +22,36 @@ def sha_of_list(items: str) -> Column:
     return F.sha2(F.array_join(items, ",").cast("binary"), 256)
 
 
+def op2_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    said = F.lit("\\### Assistant: </turn> ok")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    layout = chat.canonical_turns(read(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
+    turns = layout.select("row.conv_id", "row.turn", F.inline("turns"))
+    made = chat.format_turns(turns, "conv_id", "turn")
+    back = made.select("*", chat.parse_turns(F.col("formatted")).alias("turns"), chat.learned_text(F.col("formatted"), F.col("loss")).alias("learned"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        F.col("conversation").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op4_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = secret_scan.secret_spans(read(spark, d, "documents").select("doc_id", "text"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    base = [r.kind for r in secret_scan.BASE]
+    return found.select(
+        "row.doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(secret_scan.joined(of(*base)).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     made = byte_bpe.encode(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=["doc_id"], decode=True)
     return made.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -42,6 +72,6 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_byte_bpe, op6_decontaminate, op9_token_count, op10_exact_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_chat_format, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op9_token_count, op10_exact_dedup)}
 
 SQL: dict[str, str] = {}

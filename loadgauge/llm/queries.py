@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_format as chat, secret_scan, token_count
+from . import byte_bpe, chat_format as chat, near_dup, secret_scan, token_count
 from .common import read
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
@@ -40,6 +40,11 @@ def op2_chat_format(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op3_near_dup(spark: SparkSession, d: str) -> DataFrame:
+    found = near_dup.near_groups(read(spark, d, "documents").select("doc_id", "text"), size=3, percent=85)
+    return found.select("row.doc_id", "n_shingles", "component_id", (F.col("row.doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op4_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     found = secret_scan.secret_spans(read(spark, d, "documents").select("doc_id", "text"))
     of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
@@ -72,6 +77,6 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_chat_format, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op9_token_count, op10_exact_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op9_token_count, op10_exact_dedup)}
 
 SQL: dict[str, str] = {}

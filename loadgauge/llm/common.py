@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import stage
@@ -52,3 +53,17 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BY
             size += int(n)
         if start < len(lengths):
             yield batch.slice(start)
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered up to ``limit`` words."""
+
+    def __init__(self, limit: int = 400_000):
+        super().__init__()
+        self.limit = limit
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > self.limit:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value

@@ -17,15 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stage
-from .common import numbered, or_empty, pieces
+from .common import WordHashes, numbered, or_empty, pieces
 from .components import components
 
-#: Coordinates of a signature, the chance to miss a pair at the threshold, documents compared at once, words a task remembers.
-COORDINATES, LOSS, BLOCK, REMEMBERED = 32, 1e-7, 256, 400_000
+#: Coordinates of a signature, the chance to miss a pair at the threshold, documents compared at once.
+COORDINATES, LOSS, BLOCK = 32, 1e-7, 256
 
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -43,14 +42,6 @@ def match_threshold(percent: int) -> int:
     return COORDINATES
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def shingles(text: bytes, size: int, words: dict) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes; a text of fewer words is one shingle, one without words none."""
     w = text.lower().split()
@@ -76,7 +67,7 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 def _sign(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
+        words = WordHashes()
         for batch in pieces(batches, "text"):
             counts, digests, keys = [], [], []
             for text in batch.column("text").to_pylist():
@@ -92,7 +83,7 @@ def _sign(size: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
+        words = WordHashes()
         for batch in pieces(batches, "text"):
             sets = [shingles(x, size, words).tobytes() for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(sets, pa.binary())], names=["rep", "shingles"])

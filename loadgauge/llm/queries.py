@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_format as chat, near_dup, secret_scan, token_count
+from . import byte_bpe, chat_format as chat, line_dedup, near_dup, secret_scan, token_count
 from .common import read
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
@@ -67,6 +67,11 @@ def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha_of_list("items").alias("items_sha256"), "contaminated")
 
 
+def op8_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    found = line_dedup.line_dedup(read(spark, d, "documents").select("doc_id", "text", "source"))
+    return found.select("row.doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op9_token_count(spark: SparkSession, d: str) -> DataFrame:
     made = token_count.token_counts(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
     return made.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -77,6 +82,6 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op9_token_count, op10_exact_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op8_line_dedup, op9_token_count, op10_exact_dedup)}
 
 SQL: dict[str, str] = {}

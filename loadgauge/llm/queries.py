@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_format as chat, line_dedup, near_dup, secret_scan, token_count
+from . import byte_bpe, chat_format as chat, line_dedup, near_dup, ngram_lm, secret_scan, token_count
 from .common import read
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
@@ -22,6 +22,13 @@ def sha_of_list(items: str) -> Column:
     return F.sha2(F.array_join(items, ",").cast("binary"), 256)
 
 
+def op1_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents").select("doc_id", "text").withColumn("held_out", ngram_lm.fold(F.col("doc_id"), 7) == 2)
+    model = ngram_lm.fit(docs.where("NOT held_out"))
+    made = ngram_lm.score(docs, model, keep=["doc_id", "held_out"])
+    return made.select("row.doc_id", "row.held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
 def op2_chat_format(spark: SparkSession, d: str) -> DataFrame:
     said = F.lit("\\### Assistant: </turn> ok")
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
@@ -82,6 +89,6 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op8_line_dedup, op9_token_count, op10_exact_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_score, op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op8_line_dedup, op9_token_count, op10_exact_dedup)}
 
 SQL: dict[str, str] = {}

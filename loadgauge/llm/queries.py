@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_format as chat, line_dedup, near_dup, ngram_lm, secret_scan, token_count
+from . import byte_bpe, chat_format as chat, line_dedup, near_dup, ngram_lm, secret_scan, token_count, toxicity
 from .common import read
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 
 #: Tokens a training window holds.
 TOKEN_LIMIT = 512
+#: Score from which on a document is toxic.
+TOXIC = 0.5
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +76,18 @@ def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha_of_list("items").alias("items_sha256"), "contaminated")
 
 
+def toxic_network(docs: DataFrame, labels: DataFrame) -> toxicity.Network | None:
+    """Learned from the labels of the documents that aren't held out."""
+    return toxicity.fit(docs, labels.where(ngram_lm.fold(F.col("doc_id"), 5) != 0))
+
+
+def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    made = toxicity.toxicity(docs, toxic_network(docs, read(spark, d, "labels")), keep=["doc_id"])
+    held_out = ngram_lm.fold(F.col("row.doc_id"), 5) == 0
+    return made.select("row.doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 def op8_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     found = line_dedup.line_dedup(read(spark, d, "documents").select("doc_id", "text", "source"))
     return found.select("row.doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
@@ -89,6 +103,6 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_score, op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op8_line_dedup, op9_token_count, op10_exact_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_score, op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op7_toxicity, op8_line_dedup, op9_token_count, op10_exact_dedup)}
 
 SQL: dict[str, str] = {}

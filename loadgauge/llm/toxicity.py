@@ -24,8 +24,11 @@ from .decontaminate import words
 SAMPLE = {1: 1200, 0: 3600}
 #: Words of a window and between the starts of two; sizes of a word's two vectors, of a direction's state, of the attention.
 WINDOW, STEP, WORD, CHARS, STATE, ATTENTION = 32, 16, 8, 8, 8, 8
-#: Sample documents a word must be in to have a vector of its own; rows of the trigram table; passes; windows in a step.
-OFTEN, TRIGRAMS, EPOCHS, BATCH = 5, 1 << 14, 10, 128
+#: Sample documents a word must be in to have a vector of its own; rows of the trigram table; passes, more if they
+#: would have fewer steps; windows in a step.
+OFTEN, TRIGRAMS, EPOCHS, STEPS, BATCH = 5, 1 << 14, 10, 500, 128
+#: How much the words' vectors shrink in a step, as a share of the step's rate.
+DECAY = 2.0
 #: Windows run at once, and words a task remembers.
 CHUNK, REMEMBERED = 2048, 250_000
 
@@ -146,8 +149,10 @@ class Network:
 
 
 class _Adam:
-    def __init__(self, w: dict[str, np.ndarray], rate: float):
-        self.w, self.rate, self.n = w, rate, 0
+    """Adam; the weights named in ``decay`` also shrink a little in each step, so that what few documents have weighs less."""
+
+    def __init__(self, w: dict[str, np.ndarray], rate: float, decay: dict[str, float]):
+        self.w, self.rate, self.decay, self.n = w, rate, decay, 0
         self.m, self.v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
 
     def step(self, g: dict[str, np.ndarray]) -> None:
@@ -157,6 +162,8 @@ class _Adam:
             self.m[k] += 0.1 * (d - self.m[k])
             self.v[k] += 0.001 * (d * d - self.v[k])
             self.w[k] -= fix * self.m[k] / (np.sqrt(self.v[k]) + 1e-7)
+            if k in self.decay:
+                self.w[k] *= 1 - self.rate * self.decay[k]
 
 
 def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -181,7 +188,7 @@ class _Documents:
         return ids, mask
 
 
-def train(texts: list[bytes], toxic: list[int], epochs: int = EPOCHS, seed: int = 1) -> Network:
+def train(texts: list[bytes], toxic: list[int], seed: int = 1) -> Network:
     """Fit on documents; a fifth is set aside to turn logits into probabilities."""
     rng = np.random.default_rng(seed)
     docs, y = _Documents(texts), np.array(toxic, np.float32)
@@ -192,10 +199,11 @@ def train(texts: list[bytes], toxic: list[int], epochs: int = EPOCHS, seed: int
     starts = np.cumsum(sizes) - sizes
     own = np.fromiter((net.vocabulary.get(x, 0) for x in docs.vocabulary), np.int64, len(docs.vocabulary))
     aside = rng.random(len(y)) < 0.2 if len(y) >= 200 else np.zeros(len(y), bool)
-    adam = _Adam(net.w, 0.01)
+    adam = _Adam(net.w, 0.01, {"word": DECAY, "chars": DECAY})
     everything = [(d, int(s)) for d in range(len(y)) for s in docs.windows[d]]
     of = np.array([d for d, _ in everything])
     learn, part = np.flatnonzero(~aside), max(1e-3, float(y.mean()))
+    epochs = max(EPOCHS, -(-STEPS * BATCH // (2 * len(learn))))
     for epoch in range(epochs):
         chosen = [(int(d), int(rng.choice(docs.windows[d]))) for d in learn if epoch == 0 or y[d] == 0]
         if epoch:
@@ -224,7 +232,7 @@ def train(texts: list[bytes], toxic: list[int], epochs: int = EPOCHS, seed: int
                 share = np.repeat(d_vec[:, WORD:] / np.maximum(size, 1)[:, None], size, axis=0)
                 g["chars"] = _summed(rows[at], share, TRIGRAMS)
             adam.step(g)
-        adam.rate *= 0.8
+        adam.rate *= 0.1 ** (1 / epochs)
     logits = _logits(net, docs, everything)
     top = logits[_best(logits, of, len(y))]
     use = aside if aside.any() and 0 < y[aside].sum() < aside.sum() else np.ones(len(y), bool)

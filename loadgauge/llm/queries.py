@@ -11,6 +11,7 @@ from . import byte_bpe, chat_format as chat, line_dedup, near_dup, ngram_lm, sec
 from .common import read
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .sql import SQL
 
 #: Tokens a training window holds.
 TOKEN_LIMIT = 512
@@ -104,5 +105,3 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_score, op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op7_toxicity, op8_line_dedup, op9_token_count, op10_exact_dedup)}
-
-SQL: dict[str, str] = {}

@@ -3,8 +3,9 @@
 A document is posted under each of its (coordinate, value) pairs. Two documents whose signatures agree in ``matches`` places or more
 share one of the ``COORDINATES - matches + 1`` rarest pairs of either, so only that prefix is posted; pairs that one document alone has
 take places in the prefix and need no posting, and very common ones fall behind it. Lists are merged in two steps that skip what is
-decided: first each document meets its lists' first document; after those links are confirmed, only lists that still hold
-several components are compared further, in blocks, and only across components. Every link is confirmed on full shingle sets.
+decided: first each document meets its lists' most central document; after those links are confirmed, only lists that still hold
+several components are compared further, in blocks, and only across components. Every link is confirmed on full shingle sets: where
+many pairs of one family are left, sets travel to a block once, not once per pair, and a block gives a spanning forest of its links.
 
 ``matches`` is set so that a pair at the similarity threshold has fewer with a probability below ``LOSS``.
 """
@@ -23,8 +24,8 @@ from ..session import stage
 from .common import WordHashes, numbered, or_empty, pieces
 from .components import components
 
-#: Coordinates of a signature, the chance to miss a pair at the threshold, documents compared at once.
-COORDINATES, LOSS, BLOCK = 32, 1e-7, 256
+#: Coordinates of a signature, the chance to miss a pair at the threshold, documents of a list compared at once, bytes of sets in a block.
+COORDINATES, LOSS, BLOCK, HOME_BYTES = 32, 1e-7, 256, 4 << 20
 
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -111,36 +112,56 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stage(pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").mapInArrow(_confirm(percent), "a long, b long"), "links")
 
 
-def _across(least: int, percent: int):
-    """Pairs of a list's blocks that agree in ``least`` places, of different components and sizes that allow the threshold."""
+def _across(least: int, percent: int, homes: int):
+    """Pairs of a list's blocks that agree in ``least`` places, of different components and sizes that allow the threshold.
 
-    def pairs_of(group: pa.Table) -> list[np.ndarray]:
-        col = {n: group.column(n).to_numpy() for n in ("rep", "root", "n_shingles", "own", "low", "high")}
+    One row for each pair of homes that a block's pairs fall in: (low, high, a, b, members).
+    """
+
+    def pairs_of(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        col = {n: group.column(n).to_numpy() for n in ("key", "rep", "root", "n_shingles", "posted", "home", "own", "low", "high")}
         keys = group.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
         low, high = col["low"][0], col["high"][0]
         a, b = np.flatnonzero(col["own"] == low), np.flatnonzero(col["own"] == high)
-        same = sum((keys[a, k][:, None] == keys[b, k][None, :]).astype(np.int8) for k in range(COORDINATES))
+        same, before = np.zeros((len(a), len(b)), np.int8), np.zeros((len(a), len(b)), bool)
+        place = int(col["key"][0]) & (COORDINATES - 1)
+        for k in range(COORDINATES):
+            equal = keys[a, k][:, None] == keys[b, k][None, :]
+            same += equal
+            if k < place:  # a pair is given by the first list that both are posted in
+                before |= equal & ((col["posted"][a] >> k & 1)[:, None] & (col["posted"][b] >> k & 1)[None, :]).astype(bool)
         na, nb = col["n_shingles"][a][:, None], col["n_shingles"][b][None, :]
-        ok = (same >= least) & (col["root"][a][:, None] != col["root"][b][None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+        ok = (same >= least) & ~before & (col["root"][a][:, None] != col["root"][b][None, :]) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
         if low == high:
             ok &= a[:, None] < b[None, :]
         i, j = np.nonzero(ok)
-        return [col["rep"][a[i]], col["rep"][b[j]]]
+        if not len(i):
+            return
+        i, j = a[i], b[j]
+        x, y = np.minimum(col["home"][i], col["home"][j]), np.maximum(col["home"][i], col["home"][j])
+        combo = x * homes + y
+        order = np.argsort(combo, kind="stable")
+        cuts = [0, *(np.flatnonzero(np.diff(combo[order])) + 1).tolist(), len(order)]
+        rows = [order[s:e] for s, e in zip(cuts, cuts[1:])]
+        listed = lambda parts: pa.array(parts, pa.list_(pa.int64()))
+        first, second = [col["rep"][i[r]] for r in rows], [col["rep"][j[r]] for r in rows]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[r[0]] for r in rows]), pa.array([y[r[0]] for r in rows]), listed(first), listed(second), listed([np.union1d(p, q) for p, q in zip(first, second)])],
+            names=["low", "high", "a", "b", "members"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def cut(last: bool) -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held)
-            names = ("key", "low", "high")
-            col = [table.column(n).to_numpy() for n in names]
+            col = [table.column(n).to_numpy() for n in ("key", "low", "high")]
             change = np.flatnonzero(sum((c[1:] != c[:-1]).astype(int) for c in col)) + 1
             edges = [0, *change.tolist(), len(table)]
             held[:] = [] if last else table.slice(edges[-2]).to_batches()
             for start, end in zip(edges, edges[1:] if last else edges[1:-1]):
                 if end - start > 1:
-                    a, b = pairs_of(table.slice(start, end - start))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                    yield from pairs_of(table.slice(start, end - start))
 
         for batch in batches:
             if batch.num_rows:
@@ -152,13 +173,59 @@ def _across(least: int, percent: int):
     return run
 
 
+def _confirm_block(percent: int):
+    """A spanning forest of the links among the pairs of one pair of homes, on full sets."""
+
+    def run(key, pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        reps = sets.column("rep").to_numpy()
+        order = np.argsort(reps)
+        reps = reps[order]
+        raw = sets.column("shingles").combine_chunks().to_pylist()
+        held = [np.frombuffer(raw[i], np.uint64) for i in order]
+        sizes = np.array([len(x) for x in held])
+        _, ids = np.unique(np.concatenate(held), return_inverse=True)
+        ends = np.cumsum(sizes)
+        own = [ids[e - n : e] for e, n in zip(ends, sizes)]
+        a = np.searchsorted(reps, pairs.column("a").combine_chunks().flatten().to_numpy())
+        b = np.searchsorted(reps, pairs.column("b").combine_chunks().flatten().to_numpy())
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        parent, links = list(range(len(reps))), []
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        mark = np.zeros(int(ids.max()) + 1 if len(ids) else 1, bool)
+        cuts = [0, *(np.flatnonzero(np.diff(a)) + 1).tolist(), len(a)]
+        for s, e in zip(cuts, cuts[1:]):
+            x, others = int(a[s]), b[s:e]
+            mark[own[x]] = True
+            n = sizes[others]
+            both = np.add.reduceat(mark[np.concatenate([own[o] for o in others])].astype(np.int64), np.cumsum(n) - n)
+            mark[own[x]] = False
+            for o in others[100 * both >= percent * (sizes[x] + n - both)].tolist():
+                if (p := root(x)) != (q := root(o)):
+                    parent[q] = p
+                    links.append((int(reps[x]), int(reps[o])))
+        return pa.table({"a": pa.array([p for p, _ in links], pa.int64()), "b": pa.array([q for _, q in links], pa.int64())})
+
+    return run
+
+
 def _postings(classes: DataFrame, prefix: int) -> DataFrame:
-    """(rep, key, leader), stored: each class under those of its rarest ``prefix`` pairs that others have too."""
+    """(rep, key, weight, posted), stored: each class under those of its rarest ``prefix`` pairs that others have too.
+
+    ``posted`` has their places as bits. ``weight`` is how often all its pairs occur: the original of a family of copies has the most.
+    """
     exploded = classes.select("rep", F.explode("keys").alias("key"))
-    shared = stage(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("leader")).where("n > 1"), "shared-pairs")
-    lists = exploded.join(shared.hint("merge"), "key").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "key", "leader"))).alias("l"))
-    places = F.greatest(F.lit(0), prefix - (COORDINATES - F.size("l")))
-    return stage(lists.select("rep", F.inline(F.slice("l", F.lit(1), places))).select("rep", "key", "leader"), "postings")
+    shared = stage(exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared-pairs")
+    lists = exploded.join(shared.hint("merge"), "key").groupBy("rep").agg(F.sum("n").alias("weight"), F.sort_array(F.collect_list(F.struct("n", "key"))).alias("l"))
+    posted = lists.select("rep", "weight", F.slice("l", F.lit(1), F.greatest(F.lit(0), prefix - (COORDINATES - F.size("l")))).alias("l"))
+    places = F.expr(f"aggregate(l, 0L, (bits, x) -> bits | shiftleft(1L, cast(x.key & {COORDINATES - 1} as int)))")
+    return stage(posted.select("rep", "weight", places.alias("posted"), F.inline("l")).select("rep", "key", "weight", "posted"), "postings")
 
 
 def _candidates(pairs: DataFrame, classes: DataFrame, least: int, percent: int) -> DataFrame:
@@ -174,20 +241,37 @@ def class_links(rows: DataFrame, text: Column, classes: DataFrame, size: int, pe
     """Links (a, b) between class representatives that give the components of the similarity graph, no more of them than needed."""
     least = match_threshold(percent)
     posts = _postings(classes, COORDINATES - least + 1)
-    wanted = posts.select("rep").union(posts.select("leader")).distinct()
-    texts = rows.select("rid", text.cast("binary").alias("text")).join(wanted.withColumnRenamed("rep", "rid").hint("merge"), "rid")
+    wanted = posts.select(F.col("rep").alias("rid")).distinct()
+    texts = rows.select("rid", text.cast("binary").alias("text")).join(wanted.hint("merge"), "rid")
     sets = stage(texts.mapInArrow(_sets(size), "rep long, shingles binary"), "shingle-sets")
-    first = posts.where("leader <> rep").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
+
+    # First step: each list's most central document meets the others.
+    leaders = posts.groupBy("key").agg(F.max(F.struct("weight", "rep")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    led = stage(posts.join(stage(leaders, "leaders"), "key"), "led-postings")
+    first = led.where("leader.rep <> rep").select(F.col("rep").alias("a"), F.col("leader.rep").alias("b")).distinct()
     links = linked(_candidates(first, classes, least, percent), sets, percent)
 
+    # Second step: lists that hold several components, in blocks. A document's home is the bucket of its most central leader's family;
+    # a family whose sets are too large for one block has several.
     roots = components(links)
-    labelled = posts.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "key", F.coalesce("root", "rep").alias("root"))
+    labelled = led.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "key", "posted", F.coalesce("root", "rep").alias("root"), "leader")
     mixed = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low_root"), F.max("root").alias("high_root")).where("low_root <> high_root").select("key", "n")
-    placed = labelled.join(mixed, "key").join(classes.select("rep", "keys", "n_shingles"), "rep").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    open_ = stage(labelled.join(stage(mixed, "mixed-lists"), "key"), "open-postings")
+    members = open_.groupBy("rep").agg(F.max("leader").alias("leader")).select("rep", F.col("leader.rep").alias("family")).join(classes.select("rep", "keys", "n_shingles"), "rep")
+    members = stage(members, "open-classes")
+    families = stage(members.groupBy("family").agg(F.ceil(F.sum("n_shingles") * 8 / HOME_BYTES).alias("slots"), F.sum("n_shingles").alias("shingles")), "families")
+    homes = max(1, -(-(families.agg(F.sum("shingles")).first()[0] or 0) * 8 // HOME_BYTES))
+    slot = F.pmod(F.xxhash64("rep"), F.col("slots"))
+    at_home = members.join(families.drop("shingles"), "family").select("rep", "keys", "n_shingles", F.pmod(F.xxhash64("family", slot), F.lit(homes)).alias("home"))
+    placed = open_.join(at_home, "rep").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    placed = placed.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "root", "n_shingles", "keys")
-    met = placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_across(least, percent), "a long, b long").distinct()
-    return links.unionByName(linked(met, sets, percent))
+    placed = placed.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "root", "n_shingles", "posted", "home", "keys")
+    met = placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_across(least, percent, homes), "low long, high long, a array<long>, b array<long>, members array<long>")
+    met = stage(met, "open-pairs")
+    needed = met.select(F.col("low").alias("low_home"), F.col("high").alias("high_home"), F.explode("members").alias("rep")).distinct().join(sets, "rep")
+    pairs = met.select("low", "high", "a", "b")
+    more = pairs.groupBy("low", "high").cogroup(needed.groupBy("low_home", "high_home")).applyInArrow(_confirm_block(percent), "a long, b long")
+    return links.unionByName(stage(more, "more-links"))
 
 
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:

@@ -13,8 +13,6 @@ from .blocks import BLOCK, attach, home_rows, time_blocks
 
 WEEK = 7 * 1440
 ROLL = 4 * 60
-# Rows up to which going through a frame costs less than two more sorts.
-SHORT_FRAME = 16
 LAG_COLUMNS, ROLL_COLUMNS = list(LAG_FEATURES), list(ROLL_FEATURES)
 
 
@@ -32,22 +30,8 @@ def _lags(target: Column, keys: Sequence[str], minutes: int) -> dict[str, Column
     return {name: F.first(target).over(order.rangeBetween(-span, -span)) for name, span in spans}
 
 
-def _sliding(rows: DataFrame, target: Column, keys: Sequence[str], minutes: int) -> DataFrame:
-    """Lags and rolling statistics from one sort, the frame gone through for every row."""
-    frame = _series_order(keys).rangeBetween(-ROLL, -minutes)
-    whole = F.count(target).over(frame) == ROLL // minutes
-    return rows.withColumns(
-        {
-            **_lags(target, keys, minutes),
-            "roll_mean_4h": F.when(whole, F.avg(target).over(frame)),
-            "roll_std_4h": F.when(whole, F.stddev_samp(target).over(frame)),
-            "roll_max_4h": F.when(whole, F.max(target).over(frame)),
-        }
-    )
-
-
-def _pieced(rows: DataFrame, target: Column, keys: Sequence[str], minutes: int) -> DataFrame:
-    """The same from running aggregates, at a cost per row that does not grow with the frame.
+def _lags_and_rolls(rows: DataFrame, target: Column, keys: Sequence[str], minutes: int) -> DataFrame:
+    """Lags, and rolling statistics from running aggregates at a cost per row that does not grow with the frame.
 
     Time is cut into pieces of 4 hours.  The 4 hours before a bucket are the end of one piece and the
     beginning of the next; both are running aggregates, one forward and one backward.
@@ -110,8 +94,7 @@ def lag_rolling_features(
     target = F.col(cfg.target)
     # Rows with a NULL target are absent values.
     rows = df.filter(target.isNotNull()).withColumn("_minute", minute_index(F.col("ds")))
-    rolling = _sliding if ROLL // minutes <= SHORT_FRAME else _pieced
-    built = rolling(time_blocks(rows, WEEK, cfg.block_days), target, keys, minutes)
+    built = _lags_and_rolls(time_blocks(rows, WEEK, cfg.block_days), target, keys, minutes)
     return home_rows(built).drop("_minute")
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,16 +17,26 @@ def clip_predictions(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("yhat", clip_nonnegative(F.col("yhat")))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join in which NULL equals NULL; the columns of ``left``, then the others of ``right``."""
+    named = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = reduce(and_, [left[c].eqNullSafe(named[f"_right_{c}"]) for c in on])
+    return left.join(named, same, "inner").drop(*[f"_right_{c}" for c in on])
+
+
 def predictions_align(actual: DataFrame, predictions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Pair each prediction with the actual of its own bucket; buckets only one side has drop out."""
-    return predictions.join(actual, [*keys, "ds"], "inner")
+    """Pair each prediction with the actual of its own bucket; buckets only one side has drop out.
+
+    A NULL series key is a series of its own, as everywhere else.
+    """
+    return null_safe_join(predictions, actual, [*keys, "ds"])
 
 
 def common_rows(predictions: DataFrame, keys: Sequence[str], models: int) -> DataFrame:
     """Keep the buckets all ``models`` models predict, so that they are scored on the same rows."""
     group = [*keys, "interval", "ds"]
     both = predictions.groupBy(*group).agg(F.count_distinct("model").alias("_models")).filter(F.col("_models") == models)
-    return predictions.join(both.drop("_models"), group, "left_semi")
+    return null_safe_join(predictions, both.drop("_models"), group)
 
 
 def warmup_column(rows: Mapping[str, int]) -> Column:

@@ -7,12 +7,14 @@ per ``site``.  Doubles are rounded so that results can be compared between engin
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import (
     BASELINES,
     FEATURES,
+    INTERVALS,
     WARMUP_ROWS_COMPAT,
     BoostedTreeConfig,
     LoadConfig,
@@ -122,7 +124,7 @@ def table_scan(spark, d):
 @query
 def table_sink(spark, d):
     path = new_path(spark, "load")
-    tables = B.clean_load(B.load_all_intervals(A.events_log(spark, d), ["5min", INTERVAL], SITE, CFG), CFG)
+    tables = B.clean_load(B.load_all_intervals(A.events_log(spark, d), list(INTERVALS), SITE, CFG), CFG)
     split = F.when(F.col("ds") < F.lit(A.SPLIT).cast("timestamp_ntz"), "train").otherwise("test")
     TB.write_table(tables.withColumn("split", split), path, ["split", "interval"])
     back = TB.read_table(spark, path, T.StructType([*TB.keyed(TB.LOAD, site=T.IntegerType()).fields,
@@ -136,8 +138,8 @@ def table_sink(spark, d):
 @query
 def prediction_file_scan(spark, d):
     folder = new_path(spark, "predictions")
-    for interval in ("5min", INTERVAL):
-        made = FC.baseline_forecasts(features(spark, d, SITE, interval), SITE)
+    for interval, table in P.features_by_interval(A.events_log(spark, d), INTERVALS, SITE, CFG).items():
+        made = FC.baseline_forecasts(table, SITE)
         TB.write_table(made, f"{folder}/predictions_{interval}")
     return rounded(TB.read_predictions(spark, folder, TB.keyed(TB.PREDICTIONS, site=T.IntegerType())))
 
@@ -345,12 +347,10 @@ def forecast_metrics_compat_warmup(spark, d):
 
 @query
 def leaderboard(spark, d):
-    parts = []
-    for interval in ("5min", "15min"):
-        made = FC.baseline_forecasts(features(spark, d, SITE, interval), SITE)
-        parts.append(P.with_interval_name(made, interval))
-    both = stage(M.clip_predictions(parts[0].unionByName(parts[1])), "predictions")
-    return M.leaderboard(rounded_means(M.forecast_metrics(M.warmup_cut(both, SITE))))
+    tables = P.features_by_interval(A.events_log(spark, d), INTERVALS, SITE, CFG)
+    parts = [P.with_interval_name(FC.baseline_forecasts(table, SITE), interval) for interval, table in tables.items()]
+    made = stage(M.clip_predictions(reduce(DataFrame.unionByName, parts)), "predictions")
+    return M.leaderboard(rounded_means(M.forecast_metrics(M.warmup_cut(made, SITE))))
 
 
 @query
@@ -605,24 +605,28 @@ def sequence_regression(spark, d):
 
 @query
 def batch_scoring(spark, d):
-    """Fit, save, load, and score the first 200 test buckets of each site."""
-    forecaster, model, stats, _, test = _fitted(spark, d, FC.AdditiveSeasonal)
-    root = new_path(spark, "models")
-    FC.save_model(model, stats, root, forecaster.name, INTERVAL)
-    stored, scaler = FC.load_model(spark, root, forecaster.name, INTERVAL)
-    return rounded(FC.predict_scaled(forecaster, stored, scaler, M.horizon_limit(test, 200, SITE), SITE))
+    """Fit, save, load, and score every test bucket of each site with each of the models."""
+    made = []
+    for make in (FC.AdditiveSeasonal, lambda: FC.BoostedTree(SITE, TREES), lambda: FC.SequenceRegression(SITE)):
+        forecaster, model, stats, _, test = _fitted(spark, d, make)
+        root = new_path(spark, "models")
+        FC.save_model(model, stats, root, forecaster.name, INTERVAL)
+        stored, scaler = FC.load_model(spark, root, forecaster.name, INTERVAL)
+        made.append(FC.predict_scaled(forecaster, stored, scaler, test, SITE).select("site", "ds", "y", "yhat").withColumn("model", F.lit(forecaster.name)))
+    return rounded(reduce(DataFrame.unionByName, made))
 
 
 @query
 def save_load_model(spark, d):
-    """Forecasts of a model before it is stored and after it is loaded again."""
+    """Whether each forecast of a model is the same before it is stored and after it is loaded again."""
     forecaster, model, stats, _, test = _fitted(spark, d, FC.AdditiveSeasonal)
     root = new_path(spark, "models")
     FC.save_model(model, stats, root, forecaster.name, INTERVAL)
     stored, scaler = FC.load_model(spark, root, forecaster.name, INTERVAL)
     now = FC.predict_scaled(forecaster, model, stats, test, SITE).select("site", "ds", "yhat")
     later = FC.predict_scaled(forecaster, stored, scaler, test, SITE).select("site", "ds", F.col("yhat").alias("stored_yhat"))
-    return rounded(now.join(later, ["site", "ds"], "inner"))
+    both = M.null_safe_join(now, later, ["site", "ds"])
+    return both.select("site", "ds", F.col("yhat").eqNullSafe(F.col("stored_yhat")).alias("same"))
 
 
 # --- capacity ----------------------------------------------------------------------------------

@@ -28,6 +28,19 @@ def features_of(
     return FE.feature_table(cleaned_load(log, interval, keys, load_cfg), interval, keys, cfg)
 
 
+def features_by_interval(
+    log: DataFrame,
+    intervals: Sequence[str],
+    keys: Sequence[str] = (),
+    load_cfg: LoadConfig = LoadConfig(),
+    cfg: FeatureConfig = FeatureConfig(),
+) -> dict[str, DataFrame]:
+    """Feature tables of several intervals; the log is read once, the load tables are stored by interval."""
+    loads = buckets.clean_load(buckets.load_all_intervals(log, intervals, keys, load_cfg), load_cfg)
+    stored = stage(loads, "loads", ("interval",))
+    return {i: FE.feature_table(stored.filter(F.col("interval") == i).drop("interval"), i, keys, cfg) for i in intervals}
+
+
 def train_test_features(
     log: DataFrame,
     split: str,

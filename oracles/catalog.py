@@ -61,22 +61,26 @@ FROM (SELECT *, f5 = '-' OR TRY_CAST(f5 AS BIGINT) IS NOT NULL AS good FROM fiel
 SQL["table_scan"] = select(*LOADED_ALL, body=f"SELECT ds, {X.LOAD_OUT} FROM load")
 SQL["table_sink"] = select(
     LOG,
+    X.load(1, p="one_"),
     X.load(5, p="five_"),
     X.load(15),
     body=f"""SELECT CASE WHEN ds < {SPLIT} THEN 'train' ELSE 'test' END AS split, interval, site, count(*) AS buckets,
   CAST(sum(y) AS BIGINT) AS requests, CAST(sum(total_bytes) AS BIGINT) AS total_bytes
-FROM (SELECT '5min' AS interval, * FROM five_clean UNION ALL SELECT '15min', * FROM clean) GROUP BY ALL""",
+FROM (SELECT '1min' AS interval, * FROM one_clean UNION ALL SELECT '5min', * FROM five_clean UNION ALL SELECT '15min', * FROM clean) GROUP BY ALL""",
 )
 SQL["prediction_file_scan"] = select(
     LOG,
+    X.load(1, p="one_"),
+    X.features(1, source="one_clean", p="one_"),
     X.load(5, p="five_"),
     X.features(5, source="five_clean", p="five_"),
     X.load(15),
     X.features(15),
+    X.baselines("one_feat").replace("pred AS", "one_pred AS", 1),
     X.baselines("five_feat").replace("pred AS", "five_pred AS", 1),
     X.baselines(),
     body=f"""SELECT site, model, ds, {r('y', 'yhat')}, interval FROM (
-  SELECT *, '5min' AS interval FROM five_pred UNION ALL SELECT *, '15min' FROM pred)""",
+  SELECT *, '1min' AS interval FROM one_pred UNION ALL SELECT *, '5min' FROM five_pred UNION ALL SELECT *, '15min' FROM pred)""",
 )
 
 # --- projections and predicates
@@ -202,14 +206,17 @@ SQL["forecast_metrics_compat_warmup"] = select(
 )
 SQL["leaderboard"] = select(
     LOG,
+    X.load(1, p="one_"),
+    X.features(1, source="one_clean", p="one_"),
     X.load(5, p="five_"),
     X.features(5, source="five_clean", p="five_"),
     X.load(15),
     X.features(15),
+    X.baselines("one_feat").replace("pred AS", "one_pred AS", 1),
     X.baselines("five_feat").replace("pred AS", "five_pred AS", 1),
     X.baselines(),
-    "named AS (SELECT *, '5min' AS interval FROM five_pred UNION ALL SELECT *, '15min' FROM pred)",
-    cut("CASE WHEN interval = '5min' THEN 288 ELSE 96 END", "named"),
+    "named AS (SELECT *, '1min' AS interval FROM one_pred UNION ALL SELECT *, '5min' FROM five_pred UNION ALL SELECT *, '15min' FROM pred)",
+    cut("CASE interval WHEN '1min' THEN 1440 WHEN '5min' THEN 288 ELSE 96 END", "named"),
     body=f"""SELECT interval, model, {METRICS_OUT} FROM (SELECT interval, model, {METRICS} FROM kept GROUP BY ALL)
 ORDER BY interval, rmse, model""",
 )
@@ -251,6 +258,7 @@ SQL["calendar_features"] = select(
 SQL["feature_table"] = select(*LOADED_ALL, X.features(15, False), body=f"SELECT {FEATURE_OUT} FROM feat")
 SQL["feature_table_keyed"] = select(*FEATURES_15, body=f"SELECT site, {FEATURE_OUT} FROM feat")
 SQL["test_feature_table"] = select(LOG, X.train_test(15), body=f"SELECT site, {FEATURE_OUT} FROM te_feat")
+SQL["save_load_model"] = select(LOG, X.train_test(15), body="SELECT site, ds, TRUE AS same FROM te_feat")
 SQL["previous_demand"] = select(*FEATURES_15, DAY_FORECAST, SEEN, body=f"SELECT site, ds, {r('y', 'previous')} FROM seen")
 SQL["residual_anomaly"] = select(
     *FEATURES_15, DAY_FORECAST, SEEN, body=f"SELECT site, ds, {r('y', 'yhat')}, is_anomaly FROM seen"

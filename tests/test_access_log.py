@@ -1,10 +1,12 @@
 """Hand-written log lines."""
 
+import time
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from loadgauge.functions import logline as G
 from loadgauge.functions.logline import normalize_time, request_extension
 from loadgauge.sources import access_log as AL, adapters as A
 
@@ -87,3 +89,15 @@ def test_sample_lines_parse_completely(spark, small):
     lines = A.events_lines(spark, small)
     counts = AL.line_counts(lines).first()
     assert counts.lines == counts.parsed == 1000 and counts.bad_time == 0
+
+
+@pytest.mark.parametrize("junk", ["x" * 80_000, "a b c [" * 11_000, "a b c [d] " * 8_000, 'a b c [d] "' * 7_000])
+def test_long_junk_takes_time_in_proportion(spark, junk):
+    good = 'h - - [01/Jul/1995:00:00:01 -0400] "GET /a.gif HTTP/1.0" 200 6245'
+    lines = spark.createDataFrame([(junk,), (junk + " " + good,)], "value string")
+    lines.select(G.unfold(F.lit(good))).collect()
+    start = time.perf_counter()
+    got = [r[0] for r in lines.select(G.unfold(F.col("value"))).collect()]
+    assert time.perf_counter() - start < 10
+    assert got[0] == junk
+    assert got[1].endswith("200\n6245") and got[1].count("\n") == 4

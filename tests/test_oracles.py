@@ -1,5 +1,7 @@
 """Every query against its SQL on the smallest tables; those without SQL must give rows."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -7,19 +9,21 @@ from check_oracles import compare, connect
 
 NO_SQL = {
     "additive_seasonal_forecast", "boosted_tree_forecast", "feature_importance", "sequence_regression", "batch_scoring",
-    "save_load_model",
 }
 
 
+# The text operators have tests of their own.
+OWN = {n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)}
+
+
 @pytest.fixture(scope="module")
 def con(small):
     return connect(small)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(OWN & set(entry.oracle_sql())))
 def test_equals_sql(spark, con, small, name):
-    problem = compare(spark, con, name, small)
-    assert problem in (None, "no rows")
+    assert compare(spark, con, name, small) is None
 
 
 @pytest.mark.parametrize("name", sorted(NO_SQL))
@@ -28,7 +32,7 @@ def test_gives_rows(spark, small, name):
 
 
 def test_every_query_is_checked():
-    assert set(entry.queries()) == set(entry.oracle_sql()) | NO_SQL
+    assert OWN == OWN & set(entry.oracle_sql()) | NO_SQL
 
 
 def test_entry(spark):

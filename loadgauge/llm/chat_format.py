@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -109,6 +108,10 @@ def canonical_turns(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(mapping.name).alias("layout"), turns.alias("turns"))
 
 
+def _under(name: str, keys: Column) -> Column:
+    return F.transform(keys, lambda k: F.concat(F.lit(f"{name}[]."), k))
+
+
 def canonical_records(docs: DataFrame, record: str) -> DataFrame:
     """Rows whose column ``record`` holds JSON of any layout as (row, layout, turns): each record's own fingerprint selects its mapping.
 
@@ -121,8 +124,7 @@ def canonical_records(docs: DataFrame, record: str) -> DataFrame:
     parts = [top]
     for name in LISTS:
         keys = F.array_distinct(F.flatten(F.transform(F.coalesce(f"list_{name}", F.array().cast(listed)), lambda m: F.coalesce(F.map_keys(m), F.array().cast("array<string>")))))
-        paths = F.transform(keys, partial(F.concat, F.lit(f"{name}[].")))
-        parts.append(F.filter(paths, lambda p: p.isin(KNOWN)))
+        parts.append(F.filter(_under(name, keys), lambda p: p.isin(KNOWN)))
     found = data.withColumn("print", F.sha2(F.array_join(F.sort_array(F.concat(*parts)), "\n").cast("binary"), 256))
     none = F.array().cast("array<struct<role:string,text:string>>")
     layout, turns = F.lit(None).cast("string"), none

@@ -127,7 +127,7 @@ def _scan(table):
 def _union_of_blocks(found: DataFrame) -> DataFrame:
     """One row per document from its rows of all blocks: spans of different blocks can overlap."""
 
-    def unite(key, table: pa.Table) -> pa.Table:
+    def unite(key, table):
         runs = merged([(s["start"], s["end"]) for row in table["spans"].to_pylist() for s in row])
         items = sorted({x for row in table["items"].to_pylist() for x in row})
         row = {"rid": key[0].as_py(), "n_words": table["n_words"][0].as_py(), "n_hit": sum(b - a for a, b in runs), "items": items, "spans": [{"start": a, "end": b} for a, b in runs]}

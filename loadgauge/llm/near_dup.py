@@ -176,7 +176,7 @@ def _across(least: int, percent: int, homes: int):
 def _confirm_block(percent: int):
     """A spanning forest of the links among the pairs of one pair of homes, on full sets."""
 
-    def run(key, pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    def run(key, pairs, sets):
         reps = sets.column("rep").to_numpy()
         order = np.argsort(reps)
         reps = reps[order]

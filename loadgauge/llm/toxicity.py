@@ -27,6 +27,8 @@ WINDOW, STEP, WORD, CHARS, STATE, ATTENTION = 32, 16, 8, 8, 8, 8
 #: Sample documents a word must be in to have a vector of its own; rows of the trigram table; passes, more if they
 #: would have fewer steps; windows in a step.
 OFTEN, TRIGRAMS, EPOCHS, STEPS, BATCH = 5, 1 << 14, 10, 300, 128
+#: Share of the clean windows in a step that are cut short.
+SHORTER = 0.15
 #: How much the words' vectors shrink in a step, as a share of the step's rate.
 DECAY = 2.0
 #: Windows run at once, and words a task remembers.
@@ -215,6 +217,9 @@ def train(texts: list[bytes], toxic: list[int], seed: int = 1) -> Network:
         for k in range(0, len(order), BATCH):
             picked = [chosen[i] for i in order[k : k + BATCH]]
             ids, mask = docs.cut(picked)
+            # A part of a clean window is clean.
+            short = np.flatnonzero((y[[d for d, _ in picked]] == 0) & (rng.random(len(picked)) < SHORTER))
+            mask[short] &= np.arange(WINDOW) < rng.integers(1, WINDOW, len(short))[:, None]
             unique, back = np.unique(ids, return_inverse=True)
             at = np.concatenate([np.arange(a, a + n) for a, n in zip(starts[unique], sizes[unique])]) if len(unique) and len(rows) else np.zeros(0, np.int64)
             alone = np.where(rng.random(len(unique)) < 0.3, 0, own[unique]) if len(own) else np.zeros(len(unique), np.int64)
@@ -305,7 +310,7 @@ class Scorer:
             ids = flat[np.minimum(start[part, None] + span, len(flat) - 1)]
             logits[part] = self.net.forward(self.table, ids, span < left[part, None])
         a, b = self.net.scale
-        return _sigmoid(a * np.maximum.reduceat(logits, first).astype(float) + b)
+        return np.where(sizes > 0, _sigmoid(a * np.maximum.reduceat(logits, first).astype(float) + b), 0.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", sample: dict[int, int] | None = None) -> Network | None:
@@ -325,7 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
 
 
 def toxicity(docs: DataFrame, net: Network | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Every row of ``docs`` as (row, score): 0 to 1, higher is more toxic. Null and empty texts are one empty window; without a network all are 0."""
+    """Every row of ``docs`` as (row, score): 0 to 1, higher is more toxic. Texts without words, null ones too, have 0; without a network all have."""
     row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
     if net is None:
         return docs.select(row, F.lit(0.0).alias("score"))

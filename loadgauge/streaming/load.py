@@ -20,11 +20,13 @@ def stream_load(
 ) -> DataFrame:
     """Load per closed bucket; a bucket closes when the watermark passes its end.
 
-    Watermarks want TIMESTAMP, so wall clocks are taken as times of the session zone (UTC).  Buckets
-    without requests are not emitted.
+    Watermarks want TIMESTAMP, so wall clocks are counted in seconds since 1970 and back, in whatever zone
+    the session is.  Buckets without requests are not emitted.
     """
     status = F.col("status")
-    timed = log.filter(F.col("timestamp").isNotNull()).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    wall = F.col("timestamp")
+    seconds = minute_index(wall) * 60 + F.second(wall)
+    timed = log.filter(wall.isNotNull()).withColumn("timestamp", F.timestamp_seconds(seconds))
     counts = (
         timed.withWatermark("timestamp", delay)
         .groupBy(F.window("timestamp", f"{interval_minutes(interval)} minutes"), *keys)
@@ -35,7 +37,7 @@ def stream_load(
             F.count_if(L.is_server_error(status)).alias("error_5xx"),
         )
     )
-    edge = minute_index(F.col("window.start").cast("timestamp_ntz"))
+    edge = F.floor(F.unix_seconds(F.col("window.start")) / 60).cast("long")
     return B.measures(counts.select(*keys, edge.alias("_edge"), *B.COUNTS), keys, cfg)
 
 

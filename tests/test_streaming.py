@@ -71,3 +71,24 @@ def test_plans_equal_the_batch(spark, forecast):
     want = CP.scaling_recommendation(forecast, ["site"], POLICY)
     columns = ["site", "ds", "recommended_replicas", "action", "reason"]
     assert rows(got, *columns) == rows(want, *columns)
+
+
+def test_load_does_not_depend_on_the_session_zone(spark):
+    """An hour that New York skipped in 2024 is an hour like any other in the log."""
+    log = spark.sql(
+        """SELECT timestamp, 'GET / HTTP/1.0' AS request, 200 AS status, 5L AS bytes FROM VALUES
+        (TIMESTAMP_NTZ'2024-03-10 01:31:10'), (TIMESTAMP_NTZ'2024-03-10 02:31:20'), (TIMESTAMP_NTZ'2024-03-10 03:31:30'),
+        (TIMESTAMP_NTZ'2024-03-11 00:00:00') AS t(timestamp)"""
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        source, out, state = (new_path(spark, f"zone-{x}") for x in ("source", "out", "state"))
+        for part in (log.filter("timestamp < TIMESTAMP_NTZ'2024-03-11 00:00:00'"), log.filter("timestamp >= TIMESTAMP_NTZ'2024-03-11 00:00:00'")):
+            part.coalesce(1).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(log.schema).parquet(source)
+            result = SL.run_available(SL.stream_load(stream, "15min"), "zone", out, state)
+        got = [(r.d, r.y) for r in result.selectExpr("CAST(ds AS STRING) AS d", "y").orderBy("d").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [(f"2024-03-10 0{h}:30:00", 1) for h in (1, 2, 3)]

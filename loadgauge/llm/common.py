@@ -16,7 +16,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WHITE = " \t\n\x0b\x0c\r"
 
 #: Bytes of text a task works on at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,7 +58,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BY
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 

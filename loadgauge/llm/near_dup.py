@@ -25,7 +25,7 @@ from .common import WordHashes, numbered, or_empty, pieces
 from .components import components
 
 #: Coordinates of a signature, the chance to miss a pair at the threshold, documents of a list compared at once, bytes of sets in a block.
-COORDINATES, LOSS, BLOCK, HOME_BYTES = 32, 1e-7, 256, 4 << 20
+COORDINATES, LOSS, BLOCK, HOME_BYTES = 32, 1e-7, 256, 1 << 20
 
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]

@@ -99,6 +99,7 @@ class BoostedTreeConfig:
     column_sample: str = "0.8"
     seed: int = 42
     validation_days: int = 3
+    patience: int = 50
 
 
 @dataclass(frozen=True)

@@ -9,20 +9,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Protocol
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import BASELINES, FEATURES, BoostedTreeConfig, SeasonalConfig, SequenceConfig
 from ..functions.load import clip_nonnegative
 from ..functions.timegrid import minute_index
+from ..session import shared_dir, stage
 from .blocks import POSITION, SERIES_ROWS, attach, home_rows, in_block, row_blocks
 from .metrics import backfill_head
 from .scaling import scale, scaler_fit, unscale
 
 TARGET = "intensity"
+#: Rounds of boosting that are fitted before the first look for the best one, in times of the patience.
+AHEAD = 3
 
 
 class Forecaster(Protocol):
@@ -81,8 +85,34 @@ class AdditiveSeasonal:
         return made.select(*rows.columns, "yhat")
 
 
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the lowest error, looking no further than ``patience`` rounds beyond it, and whether the search ended by that."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model after its first ``n`` rounds."""
+    java, jvm = model._java_obj, SparkContext._active_spark_context._jvm
+    kind = jvm.java.lang.Class.forName("org.apache.spark.ml.regression.DecisionTreeRegressionModel")
+    trees = jvm.java.lang.reflect.Array.newInstance(kind, n)
+    weights = SparkContext._active_spark_context._gateway.new_array(jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:n], model.treeWeights[:n])):
+        trees[i], weights[i] = tree, weight
+    made = jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, model.numFeatures)
+    return model._copyValues(GBTRegressionModel(java.copyValues(made, jvm.org.apache.spark.ml.param.ParamMap())))
+
+
 class BoostedTree:
-    """Gradient-boosted regression trees, stopped early on the last days of the training part."""
+    """Gradient-boosted regression trees, cut at the round that is best on the last days of the training part.
+
+    Rounds are fitted ahead, a few times the patience at first and all of them if that doesn't run out: what is cut is the same.
+    """
 
     name = "boosted_tree"
 
@@ -93,19 +123,28 @@ class BoostedTree:
         cfg = self.cfg
         last = train.groupBy(*self.keys).agg(F.max("ds").alias("_last"))
         held = F.col("ds") > F.col("_last") - F.make_dt_interval(F.lit(cfg.validation_days))
-        marked = attach(train, last, self.keys).withColumn("_held", held).drop("_last")
-        trees = GBTRegressor(
-            labelCol=TARGET,
-            predictionCol="yhat",
-            maxIter=cfg.rounds,
-            maxDepth=cfg.max_depth,
-            stepSize=cfg.learning_rate,
-            subsamplingRate=cfg.row_sample,
-            featureSubsetStrategy=cfg.column_sample,
-            validationIndicatorCol="_held",
-            seed=cfg.seed,
-        )
-        return Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="features"), trees]).fit(marked)
+        marked = attach(train, last, self.keys).withColumn("_held", held).select(*FEATURES, TARGET, "_held")
+        marked = stage(marked, "boosted-rows")
+        context = marked.sparkSession.sparkContext
+        if context.getCheckpointDir() is None:  # a long chain of rounds is cut at files
+            context.setCheckpointDir(shared_dir(marked.sparkSession))
+        inputs = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+        learned, held_out = (inputs.transform(marked.filter(c)) for c in ("NOT _held", "_held"))
+        for rounds in sorted({min(cfg.rounds, AHEAD * cfg.patience), cfg.rounds}):
+            trees = GBTRegressor(
+                labelCol=TARGET,
+                predictionCol="yhat",
+                maxIter=rounds,
+                maxDepth=cfg.max_depth,
+                stepSize=cfg.learning_rate,
+                subsamplingRate=cfg.row_sample,
+                featureSubsetStrategy=cfg.column_sample,
+                seed=cfg.seed,
+            ).fit(learned)
+            best, ended = best_round(trees.evaluateEachIteration(held_out, "squared"), cfg.patience)
+            if ended:
+                break
+        return PipelineModel(stages=[inputs, first_trees(trees, best)])
 
     def predict(self, model: PipelineModel, rows: DataFrame) -> DataFrame:
         return model.transform(rows).select(*rows.columns, "yhat")

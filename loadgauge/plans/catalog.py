@@ -16,7 +16,6 @@ from ..config import (
     FEATURES,
     INTERVALS,
     WARMUP_ROWS_COMPAT,
-    BoostedTreeConfig,
     LoadConfig,
     ScalingPolicy,
 )
@@ -38,8 +37,6 @@ POLICY = ScalingPolicy(server_capacity=5000.0)
 INTERVAL = "15min"
 SITE = ["site"]
 ORIGIN = "2024-01-01 00:00:00"
-# Fewer, larger steps than the default configuration, which would fit for minutes.
-TREES = BoostedTreeConfig(rounds=10, max_depth=4, learning_rate=0.2)
 
 
 def query(fn: Query) -> Query:
@@ -587,13 +584,13 @@ def additive_seasonal_forecast(spark, d):
 
 @query
 def boosted_tree_forecast(spark, d):
-    forecaster, model, stats, _, test = _fitted(spark, d, lambda: FC.BoostedTree(SITE, TREES))
+    forecaster, model, stats, _, test = _fitted(spark, d, lambda: FC.BoostedTree(SITE))
     return rounded(FC.predict_scaled(forecaster, model, stats, test, SITE))
 
 
 @query
 def feature_importance(spark, d):
-    _, model, _, _, _ = _fitted(spark, d, lambda: FC.BoostedTree(SITE, TREES))
+    _, model, _, _, _ = _fitted(spark, d, lambda: FC.BoostedTree(SITE))
     return rounded(FC.feature_importance(spark, model))
 
 
@@ -607,7 +604,7 @@ def sequence_regression(spark, d):
 def batch_scoring(spark, d):
     """Fit, save, load, and score every test bucket of each site with each of the models."""
     made = []
-    for make in (FC.AdditiveSeasonal, lambda: FC.BoostedTree(SITE, TREES), lambda: FC.SequenceRegression(SITE)):
+    for make in (FC.AdditiveSeasonal, lambda: FC.BoostedTree(SITE), lambda: FC.SequenceRegression(SITE)):
         forecaster, model, stats, _, test = _fitted(spark, d, make)
         root = new_path(spark, "models")
         FC.save_model(model, stats, root, forecaster.name, INTERVAL)

@@ -138,6 +138,38 @@ def test_boosted_trees_stop_early_and_rank_features(spark, parts):
     assert set(ranks) == set(FEATURES) and max(ranks, key=ranks.get) in ("is_weekend", "day_sin", "day_cos")
 
 
+def test_best_round_waits_for_patience():
+    assert FC.best_round([3, 2, 2.5, 2.4, 1], 2) == (2, True)
+    assert FC.best_round([3, 2, 2.5, 2.4, 1], 4) == (5, False)
+    assert FC.best_round([1, 1, 1], 2) == (1, True)
+
+
+def test_boosting_goes_on_while_the_held_days_gain(spark, parts):
+    """A gain below Spark's tolerance a round, as small steps have, is still one; the cut is stored with the model."""
+    train, test = parts
+    season = 100 + 50 * F.col("hour_sin") + 20 * F.col("day_cos") + F.col("lag_1step")
+    train, test = train.withColumn("intensity", season), test.withColumn("intensity", season)
+    trees = FC.BoostedTree(["site"], BoostedTreeConfig(rounds=40, max_depth=3, learning_rate=0.05, patience=10))
+    model, stats = FC.fit_scaled(trees, train, ["site"])
+    assert len(model.stages[-1].trees) > 10
+    root = new_path(spark, "models")
+    FC.save_model(model, stats, root, "boosted_tree", "15min")
+    stored, scaler = FC.load_model(spark, root, "boosted_tree", "15min")
+    made, again = (sorted(map(tuple, FC.predict_scaled(trees, m, s, test, ["site"]).collect())) for m, s in ((model, stats), (stored, scaler)))
+    assert made == again
+
+
+def test_queries_fit_the_configured_model(monkeypatch, spark, small):
+    from loadgauge.plans.catalog import QUERIES
+
+    asked = []
+    monkeypatch.setattr(FC.BoostedTree, "fit", lambda self, train: asked.append(self.cfg) or 1 / 0)
+    for name in ("boosted_tree_forecast", "feature_importance", "batch_scoring"):
+        with pytest.raises(ZeroDivisionError):
+            QUERIES[name](spark, small)
+    assert asked == [BoostedTreeConfig()] * 3
+
+
 def test_sequence_model_backfills(spark, parts):
     train, test = (with_position(p, ["site"]) for p in parts)
     model = FC.SequenceRegression(["site"], SequenceConfig(n_lags=3))

@@ -5,7 +5,8 @@ share one of the ``COORDINATES - matches + 1`` rarest pairs of either, so only t
 take places in the prefix and need no posting, and very common ones fall behind it. Lists are merged in two steps that skip what is
 decided: first each document meets its lists' most central document; after those links are confirmed, only lists that still hold
 several components are compared further, in blocks, and only across components. Every link is confirmed on full shingle sets: where
-many pairs of one family are left, sets travel to a block once, not once per pair, and a block gives a spanning forest of its links.
+many pairs of one family are left, the documents travel to a block, never their pairs; a block goes through its pairs itself, leaves out those
+that links have joined by then, and gives a spanning forest of its links.
 
 ``matches`` is set so that a pair at the similarity threshold has fewer with a probability below ``LOSS``.
 """
@@ -24,8 +25,8 @@ from ..session import stage
 from .common import WordHashes, numbered, or_empty, pieces
 from .components import components
 
-#: Coordinates of a signature, the chance to miss a pair at the threshold, documents of a list compared at once, bytes of sets in a block.
-COORDINATES, LOSS, BLOCK, HOME_BYTES = 32, 1e-7, 256, 1 << 20
+#: Coordinates of a signature, the chance to miss a pair at the threshold, documents of a list compared at once, bytes of sets and documents in a block.
+COORDINATES, LOSS, BLOCK, HOME_BYTES, HOME_DOCS = 32, 1e-7, 512, 1 << 20, 1024
 
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -113,9 +114,9 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(least: int, percent: int, homes: int):
-    """Pairs of a list's blocks that agree in ``least`` places, of different components and sizes that allow the threshold.
+    """The documents of a list's blocks that have a pair which agrees in ``least`` places, of different components and sizes that allow the threshold.
 
-    One row for each pair of homes that a block's pairs fall in: (low, high, a, b, members).
+    One row for each pair of homes that a block's pairs fall in: (low, high, members).
     """
 
     def pairs_of(group: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -143,12 +144,8 @@ def _across(least: int, percent: int, homes: int):
         order = np.argsort(combo, kind="stable")
         cuts = [0, *(np.flatnonzero(np.diff(combo[order])) + 1).tolist(), len(order)]
         rows = [order[s:e] for s, e in zip(cuts, cuts[1:])]
-        listed = lambda parts: pa.array(parts, pa.list_(pa.int64()))
-        first, second = [col["rep"][i[r]] for r in rows], [col["rep"][j[r]] for r in rows]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[r[0]] for r in rows]), pa.array([y[r[0]] for r in rows]), listed(first), listed(second), listed([np.union1d(p, q) for p, q in zip(first, second)])],
-            names=["low", "high", "a", "b", "members"],
-        )
+        members = [np.union1d(col["rep"][i[r]], col["rep"][j[r]]) for r in rows]
+        yield pa.RecordBatch.from_arrays([pa.array([x[r[0]] for r in rows]), pa.array([y[r[0]] for r in rows]), pa.array(members, pa.list_(pa.int64()))], names=["low", "high", "members"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -173,43 +170,35 @@ def _across(least: int, percent: int, homes: int):
     return run
 
 
-def _confirm_block(percent: int):
-    """A spanning forest of the links among the pairs of one pair of homes, on full sets."""
+def _confirm_block(least: int, percent: int):
+    """A spanning forest of the links between the documents of two homes, or within one, on full sets.
 
-    def run(key, pairs, sets):
-        reps = sets.column("rep").to_numpy()
-        order = np.argsort(reps)
-        reps = reps[order]
-        raw = sets.column("shingles").combine_chunks().to_pylist()
-        held = [np.frombuffer(raw[i], np.uint64) for i in order]
-        sizes = np.array([len(x) for x in held])
+    A document meets those that agree with it in ``least`` places and that no link joins with it so far.
+    """
+
+    def run(key, group):
+        group = group.sort_by("rep")
+        reps, home, sizes = (group.column(n).to_numpy() for n in ("rep", "home", "n_shingles"))
+        keys = group.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+        held = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
         _, ids = np.unique(np.concatenate(held), return_inverse=True)
-        ends = np.cumsum(sizes)
-        own = [ids[e - n : e] for e, n in zip(ends, sizes)]
-        a = np.searchsorted(reps, pairs.column("a").combine_chunks().flatten().to_numpy())
-        b = np.searchsorted(reps, pairs.column("b").combine_chunks().flatten().to_numpy())
-        order = np.argsort(a, kind="stable")
-        a, b = a[order], b[order]
-        parent, links = list(range(len(reps))), []
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        mark = np.zeros(int(ids.max()) + 1 if len(ids) else 1, bool)
-        cuts = [0, *(np.flatnonzero(np.diff(a)) + 1).tolist(), len(a)]
-        for s, e in zip(cuts, cuts[1:]):
-            x, others = int(a[s]), b[s:e]
-            mark[own[x]] = True
+        own = np.split(ids, np.cumsum(sizes)[:-1])
+        _, root = np.unique(group.column("root").to_numpy(), return_inverse=True)
+        low, high = (np.flatnonzero(home == k.as_py()) for k in key)
+        mark, links = np.zeros(int(ids.max()) + 1, bool), []
+        for k, x in enumerate(low.tolist()):
+            others = low[k + 1 :] if key[0] == key[1] else high
             n = sizes[others]
-            both = np.add.reduceat(mark[np.concatenate([own[o] for o in others])].astype(np.int64), np.cumsum(n) - n)
+            others = others[(root[others] != root[x]) & (100 * np.minimum(n, sizes[x]) >= percent * np.maximum(n, sizes[x]))]
+            others = others[(keys[others] == keys[x]).sum(axis=1) >= least]
+            mark[own[x]] = True
+            for o in others.tolist():
+                if root[o] != root[x]:
+                    both = int(np.count_nonzero(mark[own[o]]))
+                    if 100 * both >= percent * (int(sizes[x]) + int(sizes[o]) - both):
+                        root[root == root[o]] = root[x]
+                        links.append((int(reps[x]), int(reps[o])))
             mark[own[x]] = False
-            for o in others[100 * both >= percent * (sizes[x] + n - both)].tolist():
-                if (p := root(x)) != (q := root(o)):
-                    parent[q] = p
-                    links.append((int(reps[x]), int(reps[o])))
         return pa.table({"a": pa.array([p for p, _ in links], pa.int64()), "b": pa.array([q for _, q in links], pa.int64())})
 
     return run
@@ -252,25 +241,25 @@ def class_links(rows: DataFrame, text: Column, classes: DataFrame, size: int, pe
     links = linked(_candidates(first, classes, least, percent), sets, percent)
 
     # Second step: lists that hold several components, in blocks. A document's home is the bucket of its most central leader's family;
-    # a family whose sets are too large for one block has several.
+    # a family with too many documents or too large sets for one block has several.
     roots = components(links)
     labelled = led.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "key", "posted", F.coalesce("root", "rep").alias("root"), "leader")
     mixed = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low_root"), F.max("root").alias("high_root")).where("low_root <> high_root").select("key", "n")
     open_ = stage(labelled.join(stage(mixed, "mixed-lists"), "key"), "open-postings")
-    members = open_.groupBy("rep").agg(F.max("leader").alias("leader")).select("rep", F.col("leader.rep").alias("family")).join(classes.select("rep", "keys", "n_shingles"), "rep")
+    members = open_.groupBy("rep").agg(F.max("leader").alias("leader"), F.first("root").alias("root")).select("rep", F.col("leader.rep").alias("family"), "root").join(classes.select("rep", "keys", "n_shingles"), "rep")
     members = stage(members, "open-classes")
-    families = stage(members.groupBy("family").agg(F.ceil(F.sum("n_shingles") * 8 / HOME_BYTES).alias("slots"), F.sum("n_shingles").alias("shingles")), "families")
-    homes = max(1, -(-(families.agg(F.sum("shingles")).first()[0] or 0) * 8 // HOME_BYTES))
-    slot = F.pmod(F.xxhash64("rep"), F.col("slots"))
-    at_home = members.join(families.drop("shingles"), "family").select("rep", "keys", "n_shingles", F.pmod(F.xxhash64("family", slot), F.lit(homes)).alias("home"))
-    placed = open_.join(at_home, "rep").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    parts = lambda shingles, docs: F.ceil(F.greatest(shingles * 8 / HOME_BYTES, docs / HOME_DOCS))
+    families = stage(members.groupBy("family").agg(F.sum("n_shingles").alias("shingles"), F.count(F.lit(1)).alias("docs")), "families")
+    homes = max(1, families.agg(parts(F.sum("shingles"), F.sum("docs"))).first()[0] or 0)
+    slot = F.pmod(F.xxhash64("rep"), parts(F.col("shingles"), F.col("docs")))
+    at_home = members.join(families, "family").select("rep", "root", "keys", "n_shingles", F.pmod(F.xxhash64("family", slot), F.lit(homes)).alias("home"))
+    placed = open_.join(at_home.drop("root"), "rep").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     placed = placed.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "root", "n_shingles", "posted", "home", "keys")
-    met = placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_across(least, percent, homes), "low long, high long, a array<long>, b array<long>, members array<long>")
-    met = stage(met, "open-pairs")
-    needed = met.select(F.col("low").alias("low_home"), F.col("high").alias("high_home"), F.explode("members").alias("rep")).distinct().join(sets, "rep")
-    pairs = met.select("low", "high", "a", "b")
-    more = pairs.groupBy("low", "high").cogroup(needed.groupBy("low_home", "high_home")).applyInArrow(_confirm_block(percent), "a long, b long")
+    met = placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_across(least, percent, homes), "low long, high long, members array<long>")
+    met = stage(met, "open-members")
+    needed = met.select("low", "high", F.explode("members").alias("rep")).distinct().join(at_home, "rep").join(sets, "rep")
+    more = needed.groupBy("low", "high").applyInArrow(_confirm_block(least, percent), "a long, b long")
     return links.unionByName(stage(more, "more-links"))
 
 

@@ -82,6 +82,27 @@ def test_near_groups_equal_brute_force(docs_of, prose, monkeypatch, size, percen
     assert got == brute_components(texts, size, percent)
 
 
+def test_unlinked_family_ships_documents_not_pairs(docs_of, prose, monkeypatch):
+    """A template whose texts are much alike but not enough: most pairs agree in enough places, none is a link."""
+    monkeypatch.setattr(near_dup, "HOME_DOCS", 100, raising=False)
+    shipped, real = [], near_dup.stage
+    monkeypatch.setattr(near_dup, "stage", lambda df, name: shipped.append((name, made := real(df, name))) or made)
+    rng, base, texts = random.Random(6), prose(40, 1).split(), []
+    for i in range(400):
+        w = list(base)
+        for k in rng.sample(range(40), 2):
+            w[k] = f"e{i}-{k}"
+        texts.append(" ".join(w))
+    texts += [texts[7] + " more", texts[300] + " more"]
+    got = groups(near_groups(docs_of(texts), size=3, percent=85), "n_shingles", "component_id", "kept")
+    assert got == brute_components(texts, 3, 85)
+    [met] = [df for name, df in shipped if name.startswith("open-") and "members" in df.columns]
+    lists = [c for c, kind in met.dtypes if kind == "array<bigint>"]
+    elements = met.agg(sum(F.sum(F.size(c)) for c in lists)).first()[0]
+    print("elements", elements)
+    assert 400 <= elements < 400 * 40
+
+
 def test_near_copies_null_ids_repeated_rows(table, empty, prose):
     a, b = prose(100, 1), prose(100, 2)
     rows = [(3, a, "p"), (3, a, "p"), (None, a + " more", "q"), (None, b, "q"), (None, b, "q"), (None, None, "r"), (None, "", "r")]

@@ -6,7 +6,9 @@ and look up a batch's distinct n-grams in sorted order. Nothing but totals, coun
 very frequent comes to the driver. Files are written under another name and renamed, so a repeated task writes the same.
 
 Words and their successors are dealt by the first word; the successors of a very frequent word are dealt by both words, so no bucket
-grows with one word. The model holds words and pairs of words (a text's start counts as a word before the first).
+grows with one word. The model holds words and pairs of words (a text's start counts as a word before the first), and with order 3 triples.
+Then pairs count by the distinct words before them, except those that start a text; triples are dealt by the middle word, a very
+frequent one's by the first word too, and by all three if that is very frequent as well.
 """
 
 from __future__ import annotations
@@ -29,8 +31,10 @@ from .common import WordHashes, or_empty, pieces
 FLUSH, BUCKET, WORD_BUCKET_BYTES = 2_000_000, 2_000_000, 64 << 20
 
 _U = np.uint64
-# No word holds a line feed.
-START, END = (_U(xxhash.xxh3_64_intdigest(x)) for x in (b"\n<s>", b"\n</s>"))
+# No word holds a line feed. NONE stands before a text's start.
+START, END, NONE = (_U(xxhash.xxh3_64_intdigest(x)) for x in (b"\n<s>", b"\n</s>", b"\n"))
+#: Added to the numbers of buckets that hold histories; the rows with totals of triples and of these have numbers below -_FAR and -2 * _FAR.
+_FAR = 1 << 40
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -53,6 +57,16 @@ def pair_bucket(first: np.ndarray, second: np.ndarray, hot: np.ndarray, buckets:
     return bucket_of(own, buckets)
 
 
+def _among(words: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return hot[np.minimum(np.searchsorted(hot, words), len(hot) - 1)] == words
+
+
+def triple_bucket(u: np.ndarray, v: np.ndarray, w: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
+    history = mixed(u, v)
+    often = np.where(_among(u, hot) | (u == NONE), mixed(history, w), mixed(history, np.zeros_like(v)))
+    return bucket_of(np.where(_among(v, hot), often, mixed(v, np.zeros_like(v))), buckets)
+
+
 def local_folder(uri: str) -> str:
     """The shared folder as tasks open it; it has to be mounted on all machines, as files in it are mapped into memory."""
     parsed = urlparse(uri)
@@ -104,7 +118,7 @@ def _blocks(bucket: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
     first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
     ends = np.append(first[1:], len(bucket))
     data = [pa.array([c[i:j].tobytes() for i, j in zip(first, ends)], pa.binary()) for c in (x[order] for x in columns)]
-    return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int64()), *data], names=["bucket", *"abc"[: len(data)]])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int64()), *data], names=["bucket", *"abcd"[: len(data)]])
 
 
 def _joined(table: pa.Table, name: str, dtype) -> np.ndarray:
@@ -132,6 +146,11 @@ class Model:
     word_discounts: tuple[float, float, float]
     unseen_mass: float
     pair_discounts: tuple[float, float, float]
+    order: int = 2
+    triple_buckets: tuple[int, ...] = ()
+    often_buckets: tuple[int, ...] = ()
+    n_triple_buckets: int = 1
+    triple_discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
@@ -146,8 +165,21 @@ def discount_of(c: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array((0.0, *d))[np.minimum(c, 3)]
 
 
-def fit(docs: DataFrame, text: str = "text") -> Model:
+def _compact(counts: np.ndarray) -> np.ndarray:
+    """The counts in the smallest type that holds them all."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
+def _by_history(history: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct histories, and for each how many tokens follow it, and how many words follow it once, twice, more often."""
+    before, *stats = _sums(history, counts, *[kind.astype(np.int64) for kind in (counts == 1, counts == 2, counts >= 3)])
+    return before, np.stack(stats, axis=1) if len(before) else np.zeros((0, 4), np.int64)
+
+
+def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
     """Count the texts and write the arrays. Null and empty texts count with their end alone; no rows give a model that knows nothing."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: the model holds pairs (2) or triples (3)")
     spark = docs.sparkSession
     folder = local_folder(new_path(spark, "ngram-model"))
     data = docs.select(or_empty(F.col(f"`{text}`")).cast("binary").alias("text"))
@@ -171,7 +203,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     found = blocks.applyInArrow(merge_words, "bucket long, tokens long, words long, hot binary").collect()
     tokens, words = sum(r.tokens for r in found), sum(r.words for r in found)
     hot = np.unique(np.concatenate([np.array([START]), *[np.frombuffer(r.hot, np.uint64) for r in found]]))
-    np_ = max(1, -(-tokens // BUCKET))
+    np_, nt = max(1, -(-tokens // BUCKET)), max(1, -(-2 * tokens // BUCKET))
 
     def count_pairs(batches):
         for h in _token_arrays(batches, True):
@@ -183,21 +215,68 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
             first, second, counts = first[order], second[order], counts[order].astype(np.uint32)
             yield _blocks(pair_bucket(first, second, hot, np_), first, second, counts)
 
+    def count_triples(batches):
+        for h in _token_arrays(batches, True):
+            inside = np.flatnonzero(h != START)
+            v, w = h[inside - 1], h[inside]
+            u = np.where(v == START, NONE, h[inside - 2])
+            _, at, counts = np.unique(mixed(mixed(u, v), w), return_index=True, return_counts=True)
+            at, counts = (x[np.lexsort((u[at], v[at]))] for x in (at, counts))  # equal neighbours compress
+            u, v, w = u[at], v[at], w[at]
+            yield _blocks(triple_bucket(u, v, w, hot, nt), u, v, w, counts.astype(np.uint32))
+
+    def merge_triples(key, table):
+        b = key[0].as_py()
+        u, v, w = (_joined(table, n, np.uint64) for n in "abc")
+        counts = _joined(table, "d", np.uint32).astype(np.int64)
+        starts = u == NONE
+        heads, head_counts = (v[starts], w[starts]), counts[starts]
+        u, v, w, counts = (x[~starts] for x in (u, v, w, counts))
+        triple = mixed(mixed(u, v), w)
+        keys, at = np.unique(triple, return_index=True)
+        _, counts = _sums(triple, counts)
+        _save(folder, f"triples-{b}", keys)
+        _save(folder, f"triple-counts-{b}", _compact(counts))
+        u, v, w = u[at], v[at], w[at]
+        history = mixed(u, v)
+        before, stats = _by_history(history, counts)
+        often = np.isin(before, history[_among(u, hot) & _among(v, hot)])
+        _save(folder, f"before3-{b}", before[~often])
+        _save(folder, f"before3-stats-{b}", _compact(stats[~often]))
+        _, at, times = np.unique(mixed(v, w), return_index=True, return_counts=True)
+        first, second, times = (np.concatenate(x) for x in ((v[at], heads[0]), (w[at], heads[1]), (times, head_counts)))
+        order_ = np.argsort(first, kind="stable")
+        first, second, times = first[order_], second[order_], times[order_].astype(np.uint32)
+        pairs = _blocks(pair_bucket(first, second, hot, np_), first, second, times)
+        parted = _blocks(_FAR + bucket_of(mixed(before[often], np.zeros_like(before[often])), nt), before[often], stats[often])
+        parted = parted.append_column("c", pa.nulls(parted.num_rows, pa.binary()))
+        sums = np.array([len(keys), *_counts_of_counts(counts)], np.int64).tobytes()
+        total = pa.record_batch([pa.array([-_FAR - 1 - b]), pa.array([b""]), pa.array([b""]), pa.array([sums])], names=["bucket", "a", "b", "c"])
+        return pa.Table.from_batches([pairs, parted, total])
+
+    def merge_often(b, table):
+        before, *stats = _sums(_joined(table, "a", np.uint64), *_joined(table, "b", np.int64).reshape(-1, 4).T)
+        _save(folder, f"often3-{b}", before)
+        _save(folder, f"often3-stats-{b}", _compact(np.stack(stats, axis=1)))
+        return pa.table({"bucket": [-2 * _FAR - 1 - b], "a": [b""], "b": [b""], "c": [b""]}, pa.schema([("bucket", pa.int64()), *[(n, pa.binary()) for n in "abc"]]))
+
     def merge_pairs(key, table):
         b = key[0].as_py()
+        if b < 0:
+            return table.select(["bucket", "a", "b", "c"])
+        if b >= _FAR:
+            return merge_often(b - _FAR, table)
         first, second, counts = _joined(table, "a", np.uint64), _joined(table, "b", np.uint64), _joined(table, "c", np.uint32).astype(np.int64)
         pair = mixed(first, second)
         keys, at = np.unique(pair, return_index=True)
         _, counts = _sums(pair, counts)
         _save(folder, f"pairs-{b}", keys)
-        _save(folder, f"pair-counts-{b}", counts.astype(np.uint32) if len(counts) == 0 or counts.max() < 1 << 32 else counts)
+        _save(folder, f"pair-counts-{b}", _compact(counts))
         first, second = first[at], second[at]
-        kinds = [(counts == 1).astype(np.int64), (counts == 2).astype(np.int64), (counts >= 3).astype(np.int64)]
-        before, *stats = _sums(first, counts, *kinds)
-        stats = np.stack(stats, axis=1) if len(before) else np.zeros((0, 4), np.int64)
+        before, stats = _by_history(first, counts)
         often = np.isin(before, hot)
         _save(folder, f"before-{b}", before[~often])
-        _save(folder, f"before-stats-{b}", stats[~often])
+        _save(folder, f"before-stats-{b}", _compact(stats[~often]))
         seen, times = np.unique(second, return_counts=True)
         out = _blocks(bucket_of(seen, nw), seen, times.astype(np.uint32))
         total = pa.record_batch([pa.array([-1 - b]), pa.array([before[often].tobytes()]), pa.array([np.column_stack((before[often].astype(np.int64), stats[often])).tobytes()]), pa.array([np.array([len(keys), *_counts_of_counts(counts)], np.int64).tobytes()])], names=["bucket", "a", "b", "c"])
@@ -213,8 +292,17 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
         _save(folder, f"continuations-{b}", known)
         return pa.table({"bucket": pa.array([b]), "b": pa.array([b""]), "c": pa.array([np.array([0, *_counts_of_counts(known), int((known >= 3).sum())], np.int64).tobytes()])})
 
-    blocks = data.mapInArrow(count_pairs, "bucket long, a binary, b binary, c binary").groupBy("bucket").applyInArrow(merge_pairs, "bucket long, a binary, b binary, c binary")
+    kind = "bucket long, a binary, b binary, c binary"
+    if order == 3:
+        counted = data.mapInArrow(count_triples, kind + ", d binary").groupBy("bucket").applyInArrow(merge_triples, kind)
+    else:
+        counted = data.mapInArrow(count_pairs, kind)
+    blocks = counted.groupBy("bucket").applyInArrow(merge_pairs, kind)
     parts = blocks.groupBy("bucket").applyInArrow(merge_seen, "bucket long, b binary, c binary").collect()
+    often_buckets = tuple(sorted(-2 * _FAR - 1 - r.bucket for r in parts if r.bucket < -2 * _FAR))
+    triples = [r for r in parts if -2 * _FAR <= r.bucket < -_FAR]
+    triple_sums = np.sum([np.frombuffer(r.c, np.int64) for r in triples] or [np.zeros(5, np.int64)], axis=0)
+    parts = [r for r in parts if r.bucket >= -_FAR]
     pair_sums = np.sum([np.frombuffer(r.c, np.int64) for r in parts if r.bucket < 0] or [np.zeros(5, np.int64)], axis=0)
     word_sums = np.sum([np.frombuffer(r.c, np.int64) for r in parts if r.bucket >= 0] or [np.zeros(6, np.int64)], axis=0)
     rows = np.concatenate([np.frombuffer(r.b, np.int64).reshape(-1, 5) for r in parts if r.bucket < 0] or [np.zeros((0, 5), np.int64)])
@@ -226,6 +314,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     return Model(
         folder, tokens, words, tuple(sorted(r.bucket for r in found)), nw, tuple(sorted(-1 - r.bucket for r in parts if r.bucket < 0)), np_,
         hot, hot_stats, pairs, d, mass, discounts(pair_sums[1:].tolist()),
+        order, tuple(sorted(-_FAR - 1 - r.bucket for r in triples)), often_buckets, nt, discounts(triple_sums[1:].tolist()),
     )
 
 
@@ -235,6 +324,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.m, self.words = model, WordHashes()
         self.word_buckets, self.pair_buckets = set(model.word_buckets), set(model.pair_buckets)
+        self.triple_buckets, self.often_buckets = set(model.triple_buckets), set(model.often_buckets)
 
     def _find(self, names: tuple[str, ...], bucket: np.ndarray, keys: np.ndarray, buckets: set[int]) -> list[np.ndarray]:
         """The values that the bucketed arrays hold for the keys, in their order; zeros for unknown keys."""
@@ -256,7 +346,7 @@ class Scorer:
             out = out or [np.zeros((len(keys), *v.shape[1:]), np.int64) for v in values]
             for o, v in zip(out, values):
                 o[order[i:j][hit]] = v[at[hit]]
-        return out if out is not None else [np.zeros((len(keys), 4) if n == "before-stats" else len(keys), np.int64) for n in names[1:]]
+        return out if out is not None else [np.zeros((len(keys), 4) if n.endswith("-stats") else len(keys), np.int64) for n in names[1:]]
 
     def word_tables(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts and continuation counts."""
@@ -271,6 +361,20 @@ class Scorer:
         found[often] = self.m.hot_stats[at[often]]
         return found
 
+    def after_two(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Probabilities of w after u and v, from those after v alone."""
+        m = self.m
+        history = mixed(u, v)
+        unique, at, back = np.unique(history, return_index=True, return_inverse=True)
+        a, b = u[at], v[at]
+        stats = self._find(("before3", "before3-stats"), triple_bucket(a, b, b, m.hot, m.n_triple_buckets), unique, self.triple_buckets)[0]
+        often = np.flatnonzero(_among(a, m.hot) & _among(b, m.hot))
+        stats[often] = self._find(("often3", "often3-stats"), bucket_of(mixed(unique[often], np.zeros_like(unique[often])), m.n_triple_buckets), unique[often], self.often_buckets)[0]
+        left = np.where(stats[:, 0] > 0, stats[:, 1:] @ np.array(m.triple_discounts) / np.maximum(stats[:, 0], 1), 1.0)
+        keys, at, place = np.unique(mixed(history, w), return_index=True, return_inverse=True)
+        c = self._find(("triples", "triple-counts"), triple_bucket(u[at], v[at], w[at], m.hot, m.n_triple_buckets), keys, self.triple_buckets)[0][place]
+        return np.maximum(c - discount_of(c, m.triple_discounts), 0) / np.maximum(stats[:, 0], 1)[back] + left[back] * p
+
     def score(self, texts: list[bytes]) -> dict[str, np.ndarray]:
         m = self.m
         rows = [np.array([START, *map(self.words.__getitem__, t.lower().split()), END], np.uint64) for t in texts]
@@ -294,6 +398,9 @@ class Scorer:
         a, b = first[at], second[at]
         c = self._find(("pairs", "pair-counts"), pair_bucket(a, b, m.hot, m.n_pair_buckets), mixed(a, b), self.pair_buckets)[0][pair_place]
         p = np.maximum(c - discount_of(c, m.pair_discounts), 0) / total[back] + left[back] * alone
+        if m.order == 3:
+            later = np.flatnonzero(first != START)
+            p[later] = self.after_two(flat[np.flatnonzero(inside)[later] - 2], first[later], second[later], p[later])
         starts = np.cumsum(sizes) - sizes
         add = lambda x: np.add.reduceat(x, starts)
         return {"n_tokens": sizes, "n_known": add((counts > 0)[place].astype(np.int64)), "base_score": add(base[place]), "score": add(np.log10(p))}

@@ -27,7 +27,7 @@ def sha_of_list(items: str) -> Column:
 
 def op1_lm_score(spark: SparkSession, d: str) -> DataFrame:
     docs = read(spark, d, "documents").select("doc_id", "text").withColumn("held_out", ngram_lm.fold(F.col("doc_id"), 7) == 2)
-    model = ngram_lm.fit(docs.where("NOT held_out"))
+    model = ngram_lm.fit(docs.where("NOT held_out"), order=3)
     made = ngram_lm.score(docs, model, keep=["doc_id", "held_out"])
     return made.select("row.doc_id", "row.held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
 

@@ -62,6 +62,53 @@ def test_scores_equal_a_plain_model(docs_of, monkeypatch, bucket):
         assert got[i] == (len(w), sum(c[x] > 0 for x in w), pytest.approx(base), pytest.approx(whole))
 
 
+def plain_triples(texts):
+    """Log probability of a text by words, pairs and triples, from dictionaries."""
+    tokens = [["<s>", *words_of(t)] for t in texts]
+    c3 = Counter(x for t in tokens for x in zip(t, t[1:], t[2:]))
+    c2 = Counter((b, w) for _, b, w in c3) + Counter((t[0], t[1]) for t in tokens)
+    c1, v = Counter(w for _, w in c2), len({w for t in tokens for w in t[1:]})
+    of = lambda counts: (0, *ngram_lm.discounts([sum(x == k for x in counts.values()) for k in (1, 2, 3, 4)]))
+    d = {1: of(c1), 2: of(c2), 3: of(c3)}
+
+    def step(counts, n, history, word, lower):
+        after = [k for g, k in counts.items() if g[:-1] == history]
+        if not after:
+            return lower
+        k = counts[(*history, word)]
+        return (max(k - d[n][min(k, 3)], 0) + sum(d[n][min(x, 3)] for x in after) * lower) / sum(after)
+
+    def score(text):
+        w, total = ["<s>", *words_of(text)], 0.0
+        for i in range(1, len(w)):
+            mass = sum(d[1][min(k, 3)] for k in c1.values()) / len(c2)
+            p = max(c1[w[i]] - d[1][min(c1[w[i]], 3)], 0) / len(c2) + mass / (v + 1)
+            p = step(c2, 2, (w[i - 1],), w[i], p)
+            total += math.log10(step(c3, 3, (w[i - 2], w[i - 1]), w[i], p) if i > 1 else p)
+        return total
+
+    return score
+
+
+@pytest.mark.parametrize("bucket", [2_000_000, 400, 40])
+def test_triples_equal_a_plain_model(docs_of, monkeypatch, bucket):
+    monkeypatch.setattr(ngram_lm, "BUCKET", bucket)
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices([f"w{int(rng.paretovariate(0.7)) % 20}", "the", "The"], k=rng.randint(1, 40))) for _ in range(40)] + [None, "", " \n"]
+    plain, model = plain_triples(texts), ngram_lm.fit(docs_of(texts), order=3)
+    asked = [*texts, "never seen words here", "w1 the never w1 the w1"]
+    got = {r[0]: r.score for r in ngram_lm.score(docs_of(asked), model).select("row.doc_id", "score").collect()}
+    assert got == {i: pytest.approx(plain(t)) for i, t in enumerate(asked)}
+    assert bucket > 400 or model.often_buckets
+
+
+def test_query_scores_by_triples(spark, small, monkeypatch):
+    asked, real = [], ngram_lm.fit
+    monkeypatch.setattr(ngram_lm, "fit", lambda docs, **how: asked.append(made := real(docs, **how)) or made)
+    QUERIES["op1_lm_score"](spark, small)
+    assert asked[0].order == 3 and asked[0].triple_buckets
+
+
 def test_model_of_nothing(docs_of, empty):
     model = ngram_lm.fit(empty)
     assert (model.tokens, model.words) == (0, 0)

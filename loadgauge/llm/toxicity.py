@@ -316,14 +316,15 @@ class Scorer:
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", sample: dict[int, int] | None = None) -> Network | None:
     """Fit on the sample of labelled documents. Without documents of both labels there is nothing to learn: None.
 
-    Null ids and labels are left out; of several labels of an id the highest counts. The sample's texts come to the driver: at most
-    the sum of ``sample`` documents, found by a broadcast of their ids.
+    Null ids and labels are left out; of several labels of an id the highest counts, of several rows the text with the lowest hash. The sample's
+    texts come to the driver: at most the sum of ``sample`` documents, found by a broadcast of their ids.
     """
     ids = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("label"))
     bounds = sample or SAMPLE
     parts = [ids.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(n) for k, n in sorted(bounds.items())]
     wanted = parts[0].unionByName(parts[1])
     found = docs.select(F.col(f"`{doc_id}`").alias("id"), or_empty(F.col(f"`{text}`")).cast("binary").alias("text")).join(F.broadcast(wanted), "id")
+    found = found.groupBy("id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("label").alias("label"))
     table = found.toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
     y = table.column("label").to_pylist()
     return train(table.column("text").to_pylist(), y) if len(set(y)) == 2 else None

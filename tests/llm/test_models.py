@@ -189,6 +189,15 @@ def test_finds_toxic_documents_and_leaves_others(spark, docs_of, empty, toxic_do
     assert tox.toxicity(empty, net).count() == 0
 
 
+def test_sample_takes_one_row_of_an_id(spark, table, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tox, "train", lambda texts, y: seen.append((texts, y)))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0)], "doc_id long, toxic int")
+    tox.fit(table([(1, f"text {i % 3}", None) for i in range(30)] + [(2, None, None), (2, "", None)]), labels)
+    [(texts, y)] = seen
+    assert y == [1, 0] and texts[0] in (b"text 0", b"text 1", b"text 2") and texts[1] == b""
+
+
 @pytest.fixture(scope="module")
 def con(small):
     return connect(small)

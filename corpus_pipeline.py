@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again for the next.
 
 Toxic documents go, one of equal and one of nearly equal documents stays, contaminated documents go, and what is left is
-encoded. A stage works on all rows that the one before kept; all but the last give the columns of ``documents``.
+encoded and decoded again. A stage works on all rows that the one before kept; all but the last give the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loadgauge.llm import byte_bpe
-from loadgauge.llm.common import read
+from loadgauge.llm.common import or_empty, read
 from loadgauge.llm.decontaminate import drop_contaminated
 from loadgauge.llm.exact_dedup import drop_copies
 from loadgauge.llm.near_dup import drop_near_copies
@@ -42,9 +42,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with n_tokens and their token ids as little-endian unsigned 32-bit integers."""
-    made = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return made.select("row.*", "n_tokens", "ids")
+    """The documents with n_tokens, their token ids as little-endian unsigned 32-bit integers, and whether these decode to the text."""
+    made = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, decode=True)
+    same = F.col("decoded") == or_empty(F.col("row.text")).cast("binary")
+    return made.select("row.*", "n_tokens", "ids", same.alias("round_trip"))
 
 
 STAGES: list[tuple[str, Stage]] = [

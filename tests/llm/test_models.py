@@ -246,3 +246,10 @@ def test_pipeline_stages_take_effect(spark, small):
     assert len(made) == last
     bpe = Bpe(read_ranks(c.public_tokenizers.path("byte_bpe_50k.tiktoken")))
     assert all(bytes(r.ids) == bpe.encode(r.text) and r.n_tokens == len(r.ids) // 4 for r in made)
+
+
+def test_pipeline_decodes_what_it_encodes(spark, docs_of):
+    import corpus_pipeline as c
+
+    docs = docs_of(["a b", None, "", "\u00e9\u00e4 \U0001f600\n x", "tokens of some length " * 50])
+    assert [r.round_trip for r in c.encode(spark, docs, "").select("round_trip").collect()] == [True] * 5

@@ -173,14 +173,13 @@ def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 
 class _Documents:
-    """Texts as word numbers, and the windows over them: those that are scored, and those side by side that are learned from."""
+    """Texts as word numbers, and the windows over them."""
 
     def __init__(self, texts: list[bytes]):
         place: dict[bytes, int] = {}
         self.ids = [np.array([place.setdefault(w, len(place)) for w in words(t)], np.int64) for t in texts]
         self.vocabulary = list(place)
         self.windows = [(d, int(s)) for d, x in enumerate(self.ids) for s in window_starts(len(x))]
-        self.apart = [(d, s) for d, x in enumerate(self.ids) for s in range(0, max(1, len(x)), WINDOW)]
 
     def cut(self, chosen: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers and mask of the windows (document, start)."""
@@ -203,16 +202,15 @@ def train(texts: list[bytes], toxic: list[int], seed: int = 1) -> Network:
     own = np.fromiter((net.vocabulary.get(x, 0) for x in docs.vocabulary), np.int64, len(docs.vocabulary))
     aside = rng.random(len(y)) < 0.2 if len(y) >= 200 else np.zeros(len(y), bool)
     adam = _Adam(net.w, 0.01, {"word": DECAY, "chars": DECAY})
-    of = np.array([d for d, _ in docs.apart])
+    of = np.array([d for d, _ in docs.windows])
     ends = np.searchsorted(of, np.arange(len(y) + 1))
     learn, part = np.flatnonzero(~aside), max(1e-3, float(y.mean()))
     epochs = max(EPOCHS, -(-STEPS * BATCH // (2 * len(learn))))
     for epoch in range(epochs):
-        chosen = [docs.apart[rng.integers(ends[d], ends[d + 1])] for d in learn if epoch == 0 or y[d] == 0]
+        chosen = [docs.windows[rng.integers(ends[d], ends[d + 1])] for d in learn if epoch == 0 or y[d] == 0]
         if epoch:
-            if epoch == 1 or epoch % 2 == 0:
-                best = _best(_logits(net, docs, docs.apart), of, len(y))
-            chosen += [docs.apart[best[d]] for d in learn]
+            best = _best(_logits(net, docs, docs.windows), of, len(y))
+            chosen += [docs.windows[best[d]] for d in learn]
         order = rng.permutation(len(chosen))
         for k in range(0, len(order), BATCH):
             picked = [chosen[i] for i in order[k : k + BATCH]]
@@ -241,7 +239,7 @@ def train(texts: list[bytes], toxic: list[int], seed: int = 1) -> Network:
             adam.step(g)
         adam.rate *= 0.1 ** (1 / epochs)
     logits = _logits(net, docs, docs.windows)
-    top = logits[_best(logits, np.array([d for d, _ in docs.windows]), len(y))]
+    top = logits[_best(logits, of, len(y))]
     use = aside if aside.any() and 0 < y[aside].sum() < aside.sum() else np.ones(len(y), bool)
     net.scale = _calibrated(top[use], y[use])
     return net

@@ -189,6 +189,16 @@ def test_finds_toxic_documents_and_leaves_others(spark, docs_of, empty, toxic_do
     assert tox.toxicity(empty, net).count() == 0
 
 
+def test_learns_from_the_windows_that_are_scored(monkeypatch, prose):
+    cut, real = [], tox._Documents.cut
+    monkeypatch.setattr(tox._Documents, "cut", lambda self, chosen: cut.extend(chosen) or real(self, chosen))
+    monkeypatch.setattr(tox, "_logits", lambda net, docs, windows: np.arange(len(windows), dtype=np.float32) % 5)
+    monkeypatch.setattr(tox, "STEPS", 1)
+    texts = [prose(200, i).encode() for i in range(12)]
+    tox.train(texts, [int(i % 3 == 0) for i in range(12)])
+    assert {s for _, s in cut} == set(tox.window_starts(200).tolist())
+
+
 def test_sample_takes_one_row_of_an_id(spark, table, monkeypatch):
     seen = []
     monkeypatch.setattr(tox, "train", lambda texts, y: seen.append((texts, y)))

@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_format as chat, line_dedup, near_dup, ngram_lm, secret_scan, token_count, toxicity
+from . import byte_bpe, chat_format as chat, license_scan, line_dedup, near_dup, ngram_lm, secret_scan, token_count, toxicity
 from .common import read
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
+from .lexical_search import ranked
 from .sql import SQL
+from .whitening import whitened
 
 #: Tokens a training window holds.
 TOKEN_LIMIT = 512
@@ -104,4 +106,47 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return found.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_lm_score, op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op7_toxicity, op8_line_dedup, op9_token_count, op10_exact_dedup)}
+def op11_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    found = ranked(read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark"))
+    return found.select("item.item_id", "rank", "doc_id", "score")
+
+
+def op12_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = license_scan.license_marks(read(spark, d, "documents"), keep=["doc_id"])
+    base = F.filter("marks", lambda m: m["kind"] == "base")
+    names = lambda marks: F.array_join(F.array_sort(F.array_distinct(F.transform(marks, lambda m: m["label"]))), ",")
+    place = F.transform(base, lambda m: m["word"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(place).alias("first_word"),
+        F.array_max(place).alias("last_word"),
+        names(base).alias("base_labels"),
+        names(F.col("marks")).alias("labels"),
+        "score",
+    )
+
+
+def op13_embedding_whitening(spark: SparkSession, d: str) -> DataFrame:
+    made, white = whitened(read(spark, d, "embeddings"))
+    explained = F.array(*[F.lit(float(x)) for x in white.explained]) if len(white.explained) else F.array().cast("array<double>")
+    each = made.select("row.vec_id", "deviation", F.posexplode(F.arrays_zip("whitened", explained.alias("explained"))).alias("at", "part"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(white.n).cast("long").alias("n"),
+        "deviation",
+        "part.whitened",
+        "part.explained",
+        F.lit(white.identity_error).alias("identity_error"),
+    )
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_lm_score, op2_chat_format, op3_near_dup, op4_secret_scan, op5_byte_bpe, op6_decontaminate, op7_toxicity, op8_line_dedup, op9_token_count,
+        op10_exact_dedup, op11_lexical_search, op12_license_scan, op13_embedding_whitening,
+    )
+}

@@ -94,4 +94,27 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM plain WINDOW w AS (PARTITION BY k ORDER BY n DESC, doc_id)
 """
 
-SQL = {"op2_chat_format": OP2, "op3_near_dup": OP3, "op6_decontaminate": OP6, "op8_line_dedup": OP8, "op10_exact_dedup": OP10}
+_OP11_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = f"""
+WITH items AS (
+  SELECT item_id, unnest(list_distinct({_OP11_TERMS})) AS term FROM benchmark
+), docs AS (
+  SELECT doc_id, row_number() OVER () AS rid, {_OP11_TERMS} AS w FROM documents
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs WHERE len(w) > 0
+), counts AS (
+  SELECT doc_id, rid, size, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT doc_id, rid, CAST(len(w) AS BIGINT) AS size, unnest(w) AS term FROM docs) WHERE term IN (SELECT term FROM items) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM counts, totals GROUP BY term, n_docs
+), gains AS (
+  SELECT doc_id, rid, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * size * n_docs) // n_terms))) AS g FROM counts JOIN weights USING (term), totals
+), scores AS (
+  SELECT item_id, doc_id, rid, CAST(sum(g) AS BIGINT) AS score FROM gains JOIN items USING (term) GROUP BY item_id, doc_id, rid HAVING sum(g) > 0
+)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score
+FROM scores WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 10
+"""
+
+SQL = {"op2_chat_format": OP2, "op3_near_dup": OP3, "op6_decontaminate": OP6, "op8_line_dedup": OP8, "op10_exact_dedup": OP10, "op11_lexical_search": OP11}

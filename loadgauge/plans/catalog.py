@@ -723,28 +723,50 @@ def _as_stream(table: DataFrame, name: str) -> DataFrame:
 
 @query
 def stream_load(spark, d):
-    stream = _as_stream(A.events_log(spark, d), "log-stream")
-    return rounded(SL.run_available(SL.stream_load(stream, INTERVAL, SITE, "10 minutes", CFG), "stream-load"))
+    return rounded(SL.run_available(SL.stream_load(A.events_stream(spark, d), INTERVAL, SITE, "10 minutes", CFG), "stream-load"))
 
 
 @query
 def stream_fill(spark, d):
     """Closed buckets from one stream, with the empty ones added by a second."""
-    log = _as_stream(A.events_log(spark, d), "log-stream")
-    closed = SL.run_available(SL.stream_load(log, INTERVAL, SITE, "10 minutes", CFG), "stream-load")
+    closed = SL.run_available(SL.stream_load(A.events_stream(spark, d), INTERVAL, SITE, "10 minutes", CFG), "stream-load")
     return rounded(SL.run_available(SL.stream_fill(_as_stream(closed, "load-stream"), INTERVAL, SITE, CFG), "stream-fill"))
 
 
+def _on_time(made: DataFrame, name: str) -> DataFrame:
+    return rounded(ST.split_late(SL.run_available(made, name))[0])
+
+
 @query
 def stream_anomaly(spark, d):
     stream = _as_stream(day_forecast(spark, d), "forecast-stream")
-    return rounded(SL.run_available(ST.stream_anomaly(stream, SITE, POLICY), "stream-anomaly"))
+    return _on_time(ST.stream_anomaly(stream, SITE, POLICY), "stream-anomaly")
 
 
 @query
 def stream_replica_plan(spark, d):
     stream = _as_stream(day_forecast(spark, d), "forecast-stream")
-    return rounded(SL.run_available(ST.stream_replica_plan(stream, SITE, POLICY), "stream-plan"))
+    return _on_time(ST.stream_replica_plan(stream, SITE, POLICY), "stream-plan")
+
+
+@query
+def stream_backtest(spark, d):
+    """Both strategies over one stream, the alarm included."""
+    made = _on_time(ST.stream_backtest(_as_stream(day_forecast(spark, d), "forecast-stream"), SITE, POLICY), "stream-backtest")
+    return made.select("site", *CP.BACKTEST, "action", "reason")
+
+
+@query
+def stream_late_rows(spark, d):
+    """Plan of a stream whose rows of every seventh day of a month come after all others."""
+    table = day_forecast(spark, d)
+    source, out, state = (new_path(spark, f"late-{x}") for x in ("source", "out", "state"))
+    seventh = F.dayofmonth("ds") % 7 == 0
+    for part in (table.filter(~seventh), table.filter(seventh)):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(table.schema).parquet(source)
+        made = SL.run_available(ST.stream_replica_plan(stream, SITE, POLICY), "late", out, state)
+    return rounded(made.select("site", "ds", "y", "yhat", "late", "recommended_replicas", "action"))
 
 
 QUERIES["policy_join"] = QUERIES.pop("policy_join_query")

@@ -52,11 +52,10 @@ def site_of(host: Column) -> Column:
     return (F.substr(host, F.lit(2)).cast("long") % SITES).cast("int")
 
 
-def events_log(spark: SparkSession, folder: str) -> DataFrame:
-    """events as typed access_log rows with their series key ``site``."""
+def _as_log(events: DataFrame) -> DataFrame:
     k = _k()
     status = _status(k)
-    return table(spark, folder, "events").select(
+    return events.select(
         (F.col("user_id") % SITES).cast("int").alias("site"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("host"),
         F.col("ts").alias("timestamp"),
@@ -66,6 +65,17 @@ def events_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def events_log(spark: SparkSession, folder: str) -> DataFrame:
+    """events as typed access_log rows with their series key ``site``."""
+    return _as_log(table(spark, folder, "events"))
+
+
+def events_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as a stream over the table's files; a pattern, as streams take no name of a single file."""
+    schema = table(spark, folder, "events").schema
+    return _as_log(spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]"))
+
+
 def events_lines(spark: SparkSession, folder: str) -> DataFrame:
     """events printed as log lines, ``event_id`` alongside."""
     k = _k()

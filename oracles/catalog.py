@@ -422,3 +422,18 @@ SQL["stream_replica_plan"] = select(
     body=f"""SELECT site, ds, {r('y', 'yhat')}, replicas AS recommended_replicas, action, reason
 FROM acted JOIN forecast_steps USING (site, strategy, rn)""",
 )
+SQL["stream_backtest"] = select(
+    *BACKTEST, X.ACTIONS, recursive=True,
+    body=f"""SELECT site, ds, {r('y')}, is_anomaly, strategy, c.replicas, {r('cost', 'dropped')}, action, reason
+FROM costed c JOIN acted a USING (site, strategy, rn)""",
+)
+ON_TIME = """
+first_run AS (SELECT site, max(ds) AS until FROM fc WHERE day(ds) % 7 <> 0 GROUP BY site),
+told AS MATERIALIZED (SELECT fc.*, day(ds) % 7 = 0 AND until IS NOT NULL AND ds <= until AS late FROM fc LEFT JOIN first_run USING (site)),
+on_time AS MATERIALIZED (SELECT * FROM told WHERE NOT late)"""
+SQL["stream_late_rows"] = select(
+    *FEATURES_15, DAY_FORECAST, ON_TIME, FORECAST_STEPS.replace("FROM fc", "FROM on_time"), X.fold("forecast_steps"), X.ACTIONS, recursive=True,
+    body=f"""SELECT site, ds, {r('y', 'yhat')}, FALSE AS late, replicas AS recommended_replicas, action
+FROM acted JOIN forecast_steps USING (site, strategy, rn)
+UNION ALL SELECT site, ds, {r('y', 'yhat')}, TRUE, NULL, NULL FROM told WHERE late""",
+)

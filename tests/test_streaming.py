@@ -1,5 +1,8 @@
 """A stream that has run in several batches gives what the batch operators give."""
 
+import random
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +10,8 @@ from loadgauge.config import LoadConfig, ScalingPolicy
 from loadgauge.operators import buckets as B
 from loadgauge.operators.anomaly import look_back
 from loadgauge.operators.blocks import with_position
+from loadgauge.operators.policy import with_policy
+from loadgauge.operators.replica_plan import replica_plan
 from loadgauge.plans import capacity as CP, pipeline as P
 from loadgauge.session import new_path, stage
 from loadgauge.sources import adapters as A
@@ -73,6 +78,74 @@ def test_plans_equal_the_batch(spark, forecast):
     assert rows(got, *columns) == rows(want, *columns)
 
 
+def test_backtests_equal_the_batch(spark, forecast):
+    got = run(spark, forecast, "ds", lambda s: ST.stream_backtest(s, ["site"], POLICY), "backtest")
+    want = CP.strategy_backtest(forecast, ["site"], POLICY)
+    columns = ["site", *CP.BACKTEST, "target", "action", "reason", "infra", "penalty"]
+    assert rows(got, *columns) == rows(want, *columns)
+
+
+def bucket(day, minute, y, yhat):
+    return (datetime(2024, 1, day) + timedelta(minutes=minute), y, yhat)
+
+
+SERIES = "ds timestamp_ntz, y double, yhat double"
+
+
+def in_batches(spark, parts, make):
+    """A file per part, the stream run after each."""
+    source, out, state = (new_path(spark, f"parts-{x}") for x in ("source", "out", "state"))
+    for part in parts:
+        spark.createDataFrame(part, SERIES).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SERIES).parquet(source)
+        result = SL.run_available(make(stream), "parts", out, state)
+    return result
+
+
+def in_parts():
+    """First half, its end mixed with what comes next; rows that are late by hours; a gap of some hours; the rest in reverse."""
+    rng = random.Random(4)
+    every = [bucket(1, 15 * i, 100.0 * rng.randint(1, 400), 100.0 * rng.randint(1, 400)) for i in range(200) if not 120 <= i < 140]
+    late = [(ds, 1.0, 10.0**6) for ds, _, _ in every[20:25]]
+    shuffled = every[:64] + every[66:70], [*every[64:66], *every[70:100], *late], every[100:][::-1]
+    return every, late, shuffled
+
+
+def test_late_rows_and_gaps_leave_the_plan_as_it_is(spark):
+    every, late, parts = in_parts()
+    for interval in (None, "15min"):
+        got = in_batches(spark, parts, lambda s: ST.stream_replica_plan(s, [], POLICY, "2 hours", interval))
+        made, too_late = ST.split_late(got)
+        policy = with_policy(with_position(stage(spark.createDataFrame(every, SERIES), "every")), POLICY)
+        want = replica_plan(policy.withColumn("target", CP.predictive()), [], interval=interval, block_rows=64)
+        closed = want.filter(F.col("ds") <= F.lit(every[-1][0] - timedelta(hours=2)))
+        assert rows(made, "ds", "recommended_replicas", "action", "reason") == rows(closed, "ds", "replicas", "action", "reason")
+        assert rows(too_late, "ds", "y", "yhat") == sorted(late)
+        assert not any(got.filter("late").select("recommended_replicas", "action", "reason").first())
+
+
+def test_gaps_run_the_cooldown_down(spark):
+    steps = [bucket(1, 0, 1.0, 20000.0), bucket(1, 15, 1.0, 1.0), bucket(1, 60, 1.0, 1.0), bucket(1, 75, 1.0, 1.0)]
+    for interval, want in ((None, [5, 5, 5, 1]), ("15min", [5, 5, 1, 1])):
+        got = in_batches(spark, [steps[:2], steps[2:]], lambda s: ST.stream_replica_plan(s, [], POLICY, interval=interval))
+        assert [r.recommended_replicas for r in got.orderBy("ds").collect()] == want
+
+
+def test_anomalies_and_backtests_under_late_rows(spark):
+    every, late, parts = in_parts()
+    table = stage(spark.createDataFrame(every, SERIES), "every")
+    closed = F.col("ds") <= F.lit(every[-1][0] - timedelta(hours=2))
+    policy = POLICY.override(anomaly_threshold=1.5)
+    made, too_late = ST.split_late(in_batches(spark, parts, lambda s: ST.stream_anomaly(s, [], policy, "2 hours")))
+    want = look_back(with_position(table), threshold=1.5)
+    assert rows(made, "ds", "is_anomaly") == rows(want.filter(closed), "ds", "is_anomaly")
+    assert made.filter("is_anomaly").count() > 0 and rows(too_late, "ds", "y", "yhat") == sorted(late)
+    made, too_late = ST.split_late(in_batches(spark, parts, lambda s: ST.stream_backtest(s, [], policy, "2 hours")))
+    want = CP.strategy_backtest(table, [], policy)
+    assert rows(made, *CP.BACKTEST, "action", "reason") == rows(want.filter(closed), *CP.BACKTEST, "action", "reason")
+    assert too_late.count() == len(late)
+
+
 def test_load_does_not_depend_on_the_session_zone(spark):
     """An hour that New York skipped in 2024 is an hour like any other in the log."""
     log = spark.sql(

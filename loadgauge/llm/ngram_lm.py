@@ -146,7 +146,7 @@ class Model:
     word_discounts: tuple[float, float, float]
     unseen_mass: float
     pair_discounts: tuple[float, float, float]
-    order: int = 2
+    order: int = 3
     triple_buckets: tuple[int, ...] = ()
     often_buckets: tuple[int, ...] = ()
     n_triple_buckets: int = 1
@@ -154,11 +154,17 @@ class Model:
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
-    """The modified discounts for counts 1, 2 and 3 or more, from how many n-grams have the counts 1 to 4; fixed ones where those are missing."""
-    if not all(n):
-        return 0.5, 1.0, 1.5
+    """The modified discounts for counts 1, 2 and 3 or more, from how many n-grams have the counts 1 to 4.
+
+    A discount of nothing would leave no mass to the lower order, one of the whole count none to the n-gram, so where the formula gives
+    these or more, as it does where copies abound, or where one of its counts is missing, a fixed discount stands in for it.
+    """
+    fixed = (0.5, 1.0, 1.5)
+    if not all(n[:2]):
+        return fixed
     y = n[0] / (n[0] + 2 * n[1])
-    return tuple(min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.0), float(k)) for k in (1, 2, 3))
+    found = [k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] and n[k] else 0.0 for k in (1, 2, 3)]
+    return tuple(d if 0 < d < k else f for d, k, f in zip(found, (1, 2, 3), fixed))
 
 
 def discount_of(c: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
@@ -176,7 +182,7 @@ def _by_history(history: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
     return before, np.stack(stats, axis=1) if len(before) else np.zeros((0, 4), np.int64)
 
 
-def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
+def fit(docs: DataFrame, text: str = "text", order: int = 3) -> Model:
     """Count the texts and write the arrays. Null and empty texts count with their end alone; no rows give a model that knows nothing."""
     if order not in (2, 3):
         raise ValueError(f"order {order}: the model holds pairs (2) or triples (3)")

@@ -51,7 +51,7 @@ def test_scores_equal_a_plain_model(docs_of, monkeypatch, bucket):
     rng = random.Random(2)
     texts = [" ".join(rng.choices([f"w{int(rng.paretovariate(0.7)) % 50}", "the", "The"], k=rng.randint(1, 40))) for _ in range(60)] + [None, "", " \n"]
     c, n, v, p = plain_model(texts)
-    model = ngram_lm.fit(docs_of(texts))
+    model = ngram_lm.fit(docs_of(texts), order=2)
     asked = [*texts, "never seen words here", "w1 the never w1"]
     got = {r[0]: tuple(r)[1:] for r in ngram_lm.score(docs_of(asked), model).select("row.doc_id", "n_tokens", "n_known", "base_score", "score").collect()}
     assert (model.tokens, model.words) == (n, v)
@@ -102,6 +102,28 @@ def test_triples_equal_a_plain_model(docs_of, monkeypatch, bucket):
     assert bucket > 400 or model.often_buckets
 
 
+@pytest.mark.parametrize("copies,order", [(4, 3), (4, 2), (7, 3), (1, 3)])
+def test_copies_leave_all_scores_finite(docs_of, copies, order):
+    """Many n-grams of one count: the formula's discounts leave (0, k) here."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(300)], k=12)) for _ in range(30)] * copies
+    texts += [" ".join(f"x{i}_{j}" for j in range(6)) for i in range(6) for _ in range(i % 3 + 1)]
+    asked = [*texts, " ".join(texts[0].split()[:2]) + " unseen", "unseen unseen", "w1 w2 w3 w4", None]
+    got = {r[0]: r.score for r in ngram_lm.score(docs_of(asked), ngram_lm.fit(docs_of(texts), order=order)).select("row.doc_id", "score").collect()}
+    assert all(map(math.isfinite, got.values()))
+    if order == 3:
+        plain = plain_triples(texts)
+        assert got == {i: pytest.approx(plain(t)) for i, t in enumerate(asked)}
+    else:
+        _, _, _, p = plain_model(texts)
+        assert got == {i: pytest.approx(sum(math.log10(p(a, b)) for a, b in zip(["<s>", *words_of(t)], words_of(t)))) for i, t in enumerate(asked)}
+
+
+def test_discounts_lie_inside():
+    for n in ([0, 0, 0, 0], [5, 0, 1, 1], [10, 1, 30, 50], [1, 2, 3, 400], [100, 40, 20, 12], [7, 7, 0, 7], [7, 7, 7, 0]):
+        assert all(0 < d < k for d, k in zip(ngram_lm.discounts(n), (1, 2, 3)))
+
+
 def test_query_scores_by_triples(spark, small, monkeypatch):
     asked, real = [], ngram_lm.fit
     monkeypatch.setattr(ngram_lm, "fit", lambda docs, **how: asked.append(made := real(docs, **how)) or made)

@@ -82,11 +82,17 @@ class ScalingPolicy:
 
 @dataclass(frozen=True)
 class SeasonalConfig:
-    """Additive model: linear trend + daily and weekly Fourier terms + the feature columns."""
+    """Additive model: a trend that bends at changepoints + daily and weekly Fourier terms + the feature columns.
+
+    Changepoints lie in the first ``changepoint_range`` of the training part's time.
+    """
 
     daily_order: int = 4
     weekly_order: int = 3
     ridge: float = 1e-3
+    changepoints: int = 12
+    changepoint_range: float = 0.8
+    changepoint_ridge: float = 0.05
     interval_z: float = 1.96
 
 

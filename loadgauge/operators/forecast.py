@@ -1,7 +1,7 @@
 """Forecasts of the target, one bucket ahead from observed past values.
 
-Models are fitted once per interval over all series, on values standardised per series, so that fits
-are distributed over rows whatever the number of series.
+Boosted trees and the sequence model are fitted once per interval over all series, on values standardised per series, so that fits
+are distributed over rows whatever the number of series; the additive model (:mod:`.additive`) has coefficients per series.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from typing import Protocol
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,6 +20,7 @@ from ..config import BASELINES, FEATURES, BoostedTreeConfig, SeasonalConfig, Seq
 from ..functions.load import clip_nonnegative
 from ..functions.timegrid import minute_index
 from ..session import shared_dir, stage
+from .additive import AdditiveSeasonal, SeriesModel
 from .blocks import POSITION, SERIES_ROWS, attach, home_rows, in_block, row_blocks
 from .metrics import backfill_head
 from .scaling import scale, scaler_fit, unscale
@@ -30,11 +31,19 @@ AHEAD = 3
 
 
 class Forecaster(Protocol):
-    """What a forecast plug-in offers: tables in, a fitted model or a ``yhat`` column out."""
+    """What a forecast plug-in offers: tables in, a fitted model or a ``yhat`` column out.
 
-    def fit(self, train: DataFrame) -> PipelineModel: ...
+    ``on`` gives the forecaster for tables with these series columns. A model that is no ``PipelineModel`` has a ``save`` of its own, and
+    its class, listed in :data:`STORED`, a ``load``.
+    """
+
+    name: str
+
+    def on(self, keys: Sequence[str]) -> Forecaster: ...
 
-    def predict(self, model: PipelineModel, rows: DataFrame) -> DataFrame: ...
+    def fit(self, train: DataFrame) -> PipelineModel | SeriesModel: ...
+
+    def predict(self, model: PipelineModel | SeriesModel, rows: DataFrame) -> DataFrame: ...
 
 
 def baseline_forecasts(features: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -54,37 +63,6 @@ def trend_fit(table: DataFrame, origin: str, keys: Sequence[str] = (), target: s
     )
 
 
-def _time_terms(cfg: SeasonalConfig) -> tuple[str, list[str]]:
-    """SQL for the trend and the Fourier terms, and their names."""
-    day = "(unix_date(cast(ds AS date)) + (hour(ds) * 60 + minute(ds)) / 1440D)"
-    terms = {"trend": f"{day} - 10957D"}
-    for name, period, order in (("daily", 1, cfg.daily_order), ("weekly", 7, cfg.weekly_order)):
-        for i in range(1, order + 1):
-            terms[f"{name}_sin{i}"] = f"sin(2 * pi() * {i} * {day} / {period})"
-            terms[f"{name}_cos{i}"] = f"cos(2 * pi() * {i} * {day} / {period})"
-    columns = ", ".join(f"{sql} AS {name}" for name, sql in terms.items())
-    return f"SELECT *, {columns} FROM __THIS__", list(terms)
-
-
-class AdditiveSeasonal:
-    """Trend + daily + weekly seasonality + the feature columns, added up; ridge regression."""
-
-    name = "additive_seasonal"
-
-    def __init__(self, cfg: SeasonalConfig = SeasonalConfig()):
-        self.cfg = cfg
-
-    def fit(self, train: DataFrame) -> PipelineModel:
-        sql, terms = _time_terms(self.cfg)
-        regression = LinearRegression(labelCol=TARGET, predictionCol="yhat", regParam=self.cfg.ridge)
-        inputs = VectorAssembler(inputCols=[*terms, *FEATURES], outputCol="features")
-        return Pipeline(stages=[SQLTransformer(statement=sql), inputs, regression]).fit(train)
-
-    def predict(self, model: PipelineModel, rows: DataFrame) -> DataFrame:
-        made = model.transform(rows)
-        return made.select(*rows.columns, "yhat")
-
-
 def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     """Rounds up to the lowest error, looking no further than ``patience`` rounds beyond it, and whether the search ended by that."""
     best = 0
@@ -119,6 +97,9 @@ class BoostedTree:
     def __init__(self, keys: Sequence[str] = (), cfg: BoostedTreeConfig = BoostedTreeConfig()):
         self.keys, self.cfg = list(keys), cfg
 
+    def on(self, keys: Sequence[str]) -> BoostedTree:
+        return BoostedTree(keys, self.cfg)
+
     def fit(self, train: DataFrame) -> PipelineModel:
         cfg = self.cfg
         last = train.groupBy(*self.keys).agg(F.max("ds").alias("_last"))
@@ -179,6 +160,9 @@ class SequenceRegression:
     def __init__(self, keys: Sequence[str] = (), cfg: SequenceConfig = SequenceConfig()):
         self.keys, self.cfg = list(keys), cfg
 
+    def on(self, keys: Sequence[str]) -> SequenceRegression:
+        return SequenceRegression(keys, self.cfg)
+
     def _windows(self, rows: DataFrame) -> DataFrame:
         windows = sequence_windows(rows, FEATURES, self.cfg.n_lags, self.keys)
         return windows.withColumn("features", array_to_vector(F.flatten("window"))).drop("window")
@@ -195,8 +179,9 @@ class SequenceRegression:
         return made.unionByName(early)
 
 
-def fit_scaled(forecaster: Forecaster, train: DataFrame, keys: Sequence[str] = ()) -> tuple[PipelineModel, DataFrame]:
+def fit_scaled(forecaster: Forecaster, train: DataFrame, keys: Sequence[str] = ()) -> tuple[PipelineModel | SeriesModel, DataFrame]:
     """Fit on standard scores; returns the model and the scaler it needs."""
+    forecaster = forecaster.on(keys)
     stats = scaler_fit(train, [*FEATURES, TARGET], keys)
     return forecaster.fit(scale(train, stats, [*FEATURES, TARGET], keys)), stats
 
@@ -228,6 +213,10 @@ def with_interval(
     return wide.withColumns({"yhat_lower": F.col("yhat") - reach, "yhat_upper": F.col("yhat") + reach}).drop("_sigma")
 
 
+#: Models that are stored in a form of their own.
+STORED = {AdditiveSeasonal.name: SeriesModel}
+
+
 def model_path(root: str, model: str, interval: str) -> str:
     return f"{root}/{model}_{interval}"
 
@@ -235,13 +224,17 @@ def model_path(root: str, model: str, interval: str) -> str:
 def save_model(model: PipelineModel, stats: DataFrame, root: str, name: str, interval: str) -> None:
     """One folder per (model, interval): the pipeline and the scaler it was fitted with."""
     path = model_path(root, name, interval)
-    model.write().overwrite().save(f"{path}/pipeline")
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(f"{path}/pipeline")
+    else:
+        model.save(f"{path}/pipeline")
     stats.write.mode("overwrite").parquet(f"{path}/scaler")
 
 
 def load_model(spark: SparkSession, root: str, name: str, interval: str) -> tuple[PipelineModel, DataFrame]:
     path = model_path(root, name, interval)
-    return PipelineModel.load(f"{path}/pipeline"), spark.read.parquet(f"{path}/scaler")
+    load = STORED[name].load if name in STORED else lambda _, where: PipelineModel.load(where)
+    return load(spark, f"{path}/pipeline"), spark.read.parquet(f"{path}/scaler")
 
 
 def validation_folds(predictions: DataFrame, cutoffs: Sequence[str], days: int) -> DataFrame:

@@ -18,10 +18,11 @@ from ..config import (
     WARMUP_ROWS_COMPAT,
     LoadConfig,
     ScalingPolicy,
+    SeasonalConfig,
 )
 from ..functions import capacity as C, load as L, logline as G
 from ..functions.timegrid import minute_index, to_timestamp
-from ..operators import anomaly, buckets as B, features as FE, finance, forecast as FC, metrics as M, reports as R, scaling as S
+from ..operators import additive as AD, anomaly, buckets as B, features as FE, finance, forecast as FC, metrics as M, reports as R, scaling as S
 from ..operators.blocks import POSITION, with_position
 from ..operators.policy import of, policy_join, with_policy
 from ..session import new_path, stage
@@ -565,6 +566,30 @@ def rolling_validation(spark, d):
     return rounded_means(M.forecast_metrics(folds, ["fold", "model"]))
 
 
+CUTOFFS = ["2024-01-15 00:00:00", "2024-01-18 00:00:00", "2024-01-21 00:00:00"]
+
+
+@query
+def rolling_refit(spark, d):
+    """The additive model fitted anew for every fold: rows fitted on, buckets forecast, and how far the fit is from its normal equations."""
+    table = stage(features(spark, d), "features")
+    made, fits, basis = AD.refitted(table, CUTOFFS, 5, SITE)
+    tested = made.groupBy("site", "fold").agg(F.count("yhat").alias("n_test"))
+    steep = []
+    for fold, cutoff in enumerate(CUTOFFS, 1):
+        before = table.filter(F.col("ds") < F.lit(cutoff).cast("timestamp_ntz"))
+        each = AD.gradients(before, basis, SeasonalConfig(), fits.filter(F.col("fold") == fold), SITE)
+        steep.append(each.groupBy("site").agg(F.max("n").alias("n_train"), F.round(F.max(F.abs("gradient")), 6).alias("gradient")).withColumn("fold", F.lit(fold)))
+    return M.null_safe_join(reduce(DataFrame.unionByName, steep), tested, ["site", "fold"])
+
+
+@query
+def rolling_refit_metrics(spark, d):
+    """Errors per fold of models fitted on what was known before the fold."""
+    made, _, _ = AD.refitted(stage(features(spark, d), "features"), CUTOFFS, 5, SITE)
+    return rounded(M.forecast_metrics(made, ["fold"]))
+
+
 def _fitted(spark: SparkSession, d: str, make) -> tuple:
     train, test = train_test(spark, d)
     forecaster = make()
@@ -582,6 +607,16 @@ def additive_seasonal_forecast(spark, d):
     return rounded(FC.with_interval(made, fitted, SITE))
 
 
+@query
+def additive_fit(spark, d):
+    """The fit per site and term against its normal equations: rows, and the gradient that is left."""
+    train, _ = train_test(spark, d)
+    table = stage(train, "train-features")
+    model = AD.AdditiveSeasonal(keys=SITE).fit(table)
+    made = AD.gradients(table, model.basis, SeasonalConfig(), model.coefficients, SITE)
+    return made.select("site", "term", "n", F.round(F.abs("gradient"), 6).alias("gradient"))
+
+
 @query
 def boosted_tree_forecast(spark, d):
     forecaster, model, stats, _, test = _fitted(spark, d, lambda: FC.BoostedTree(SITE))

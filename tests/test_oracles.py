@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from check_oracles import compare, connect
 
 NO_SQL = {
-    "additive_seasonal_forecast", "boosted_tree_forecast", "feature_importance", "sequence_regression", "batch_scoring",
+    "additive_seasonal_forecast", "boosted_tree_forecast", "feature_importance", "sequence_regression", "batch_scoring", "rolling_refit_metrics",
 }
 
 

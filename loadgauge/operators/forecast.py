@@ -26,8 +26,8 @@ from .metrics import backfill_head
 from .scaling import scale, scaler_fit, unscale
 
 TARGET = "intensity"
-#: Rounds of boosting that are fitted before the first look for the best one, in times of the patience.
-AHEAD = 3
+#: Rounds of boosting that are fitted before the first look for the best one, in times of the patience, and rows of a task of the fit.
+AHEAD, TASK_ROWS = 1.25, 50_000
 
 
 class Forecaster(Protocol):
@@ -89,7 +89,7 @@ def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
 class BoostedTree:
     """Gradient-boosted regression trees, cut at the round that is best on the last days of the training part.
 
-    Rounds are fitted ahead, a few times the patience at first and all of them if that doesn't run out: what is cut is the same.
+    Rounds are fitted ahead, a little more than the patience at first and twice as many while that doesn't run out: what is cut is the same.
     """
 
     name = "boosted_tree"
@@ -106,12 +106,16 @@ class BoostedTree:
         held = F.col("ds") > F.col("_last") - F.make_dt_interval(F.lit(cfg.validation_days))
         marked = attach(train, last, self.keys).withColumn("_held", held).select(*FEATURES, TARGET, "_held")
         marked = stage(marked, "boosted-rows")
+        # A round is a chain of short jobs, so a small table should not be spread over many tasks.
+        marked = marked.coalesce(max(1, -(-marked.count() // TASK_ROWS)))
         context = marked.sparkSession.sparkContext
         if context.getCheckpointDir() is None:  # a long chain of rounds is cut at files
             context.setCheckpointDir(shared_dir(marked.sparkSession))
         inputs = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
         learned, held_out = (inputs.transform(marked.filter(c)) for c in ("NOT _held", "_held"))
-        for rounds in sorted({min(cfg.rounds, AHEAD * cfg.patience), cfg.rounds}):
+        rounds, ended = 0, False
+        while not ended and rounds < cfg.rounds:
+            rounds = min(cfg.rounds, max(2 * rounds, int(AHEAD * cfg.patience)))
             trees = GBTRegressor(
                 labelCol=TARGET,
                 predictionCol="yhat",
@@ -123,8 +127,6 @@ class BoostedTree:
                 seed=cfg.seed,
             ).fit(learned)
             best, ended = best_round(trees.evaluateEachIteration(held_out, "squared"), cfg.patience)
-            if ended:
-                break
         return PipelineModel(stages=[inputs, first_trees(trees, best)])
 
     def predict(self, model: PipelineModel, rows: DataFrame) -> DataFrame:

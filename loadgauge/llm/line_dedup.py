@@ -43,9 +43,12 @@ def line_dedup(docs: DataFrame, text: str = "text", site: str = "source", min_si
     lines left have an empty text. Rows are never dropped.
     """
     rows = numbered(docs, "line-rows")
-    lines = _lines(rows, text, site)
+    lines = stage(_lines(rows, text, site), "lines")
     gone = lines.join(boilerplate(lines, min_sites), ["h1", "h2"]).groupBy("rid").agg(F.collect_list("at").alias("gone"))
-    parts = F.split(or_empty(F.col(f"row.`{text}`")), "\n", -1)
-    kept = F.when(F.col("gone").isNull(), parts).otherwise(F.filter(parts, lambda x, i: ~F.array_contains("gone", i)))
-    found = rows.join(gone, "rid", "left").select("row", F.size(parts).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"))
-    return found.select("row", "n_lines", F.greatest("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.array_join("kept", "\n").alias("text"))
+    # Generated, so that the lines are cut once a row and not once for each line looked at.
+    cut = F.explode(F.array(F.split(or_empty(F.col(f"row.`{text}`")), "\n", -1))).alias("parts")
+    found = rows.join(gone, "rid", "left").select("row", "gone", cut)
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone"), lambda i: F.get("parts", i))
+    kept = F.when(F.col("gone").isNull(), F.col("parts")).otherwise(left)
+    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone"))
+    return found.select("row", F.size("parts").cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"), F.array_join(kept, "\n").alias("text"))

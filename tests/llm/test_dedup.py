@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -131,3 +132,12 @@ def test_lines_by_spread(docs_of, empty):
 def test_many_sites_need_no_exact_count(docs_of):
     got = line_dedup(docs_of([f"mine {i}\nall" for i in range(300)], [f"s{i}" for i in range(300)]))
     assert {r.n_removed for r in got.select("n_removed").collect()} == {1}
+
+
+def test_long_texts_take_linear_time(table):
+    """Ten texts of 200,000 lines that go, and one that stays between any two of them."""
+    body = "\n".join(f"line {i}\nown" if i % 1000 == 0 else f"line {i}" for i in range(200_000))
+    start = time.monotonic()
+    got = line_dedup(table([(i, body.replace("own", f"own {i}"), f"s{i}") for i in range(10)])).select("row.doc_id", "n_lines", "n_removed", "text").collect()
+    assert time.monotonic() - start < 60
+    assert all((r.n_lines, r.n_removed, r.text) == (200_200, 200_000, "\n".join([f"own {r.doc_id}"] * 200)) for r in got)

@@ -125,7 +125,7 @@ def _scan(table):
 
 
 def _union_of_blocks(found: DataFrame) -> DataFrame:
-    """One row per document from its rows of all blocks: spans of different blocks can overlap."""
+    """One row per document from its rows of several blocks: spans of different blocks can overlap."""
 
     def unite(key, table):
         runs = merged([(s["start"], s["end"]) for row in table["spans"].to_pylist() for s in row])
@@ -136,15 +136,39 @@ def _union_of_blocks(found: DataFrame) -> DataFrame:
     return found.groupBy("rid").applyInArrow(unite, f"rid long, {_HITS}")
 
 
-def benchmark_tables(benchmark: DataFrame, text: str, item_id: str, window: int, block: int) -> Iterator[GramTable]:
-    """The benchmark's n-grams in blocks of about ``block`` (n-gram, item) pairs, each small enough to broadcast."""
+def benchmark_tables(benchmark: DataFrame, text: str, item_id: str, window: int, block: int) -> tuple[int, Iterator[GramTable]]:
+    """The benchmark's n-grams in blocks of about ``block`` (n-gram, item) pairs, each small enough to broadcast, and how many blocks.
+
+    Pairs are dealt by both parts, so that an n-gram that all items share is spread over the blocks as well. A block is made when
+    it is asked for.
+    """
     source = benchmark.select(or_empty(F.col(f"`{text}`")).cast("binary"), or_empty(F.col(f"`{item_id}`").cast("string")))
     grams = stage(source.mapInArrow(_windows(window), "gram binary, item string").distinct(), "benchmark-grams")
     blocks = max(1, -(-grams.count() // block))
-    parts = grams.withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks)))
-    for b in range(blocks):
+    parts = grams.withColumn("block", F.pmod(F.xxhash64("gram", "item"), F.lit(blocks)))
+
+    def make(b: int) -> GramTable:
         held = parts.where(F.col("block") == b).groupBy("gram").agg(F.sort_array(F.collect_list("item")).alias("items")).toArrow()
-        yield GramTable.of(zip(held["gram"].to_pylist(), held["items"].to_pylist()))
+        return GramTable.of(zip(held["gram"].to_pylist(), held["items"].to_pylist()))
+
+    return blocks, map(make, range(blocks))
+
+
+def _by_blocks(rows: DataFrame, text: str, tables: Iterator[GramTable]) -> DataFrame:
+    """(rid, the columns of hits) for the numbered rows: a block's hits are stored and its broadcast given up before the next block.
+
+    Rows without a hit are stored once, for their words.
+    """
+    context = rows.sparkSession.sparkContext
+    source = rows.select("rid", or_empty(F.col(f"row.`{text}`")).cast("binary").alias("text"))
+    scans: list[DataFrame] = []
+    for table in tables:
+        sent = context.broadcast(table)
+        scan = source.mapInArrow(_scan(sent), f"rid long, {_HITS}")
+        scans.append(stage(scan.where("n_hit > 0") if scans else scan, "contamination-hits"))
+        sent.destroy()
+    united = _union_of_blocks(reduce(DataFrame.unionByName, (s.where("n_hit > 0") for s in scans)))
+    return scans[0].where("n_hit = 0").join(united.select("rid"), "rid", "left_anti").unionByName(united)
 
 
 def contamination(
@@ -157,19 +181,16 @@ def contamination(
     words and are clean. Items of fewer words than a window count as a whole, items without words not at all; a null item id
     reads as an empty string, and repeated items are one. Windows cross lines and punctuation.
     """
-    context = docs.sparkSession.sparkContext
-    tables = [context.broadcast(x) for x in benchmark_tables(benchmark, item_text, item_id, window, block)]
-    row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
-    data = or_empty(F.col(f"`{text}`")).cast("binary").alias("text")
-    if len(tables) == 1:
-        source = docs.select(row, data)
-        found = source.mapInArrow(_scan(tables[0]), f"row {source.schema['row'].dataType.simpleString()}, {_HITS}")
+    blocks, tables = benchmark_tables(benchmark, item_text, item_id, window, block)
+    if blocks == 1:
+        row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
+        source = docs.select(row, or_empty(F.col(f"`{text}`")).cast("binary").alias("text"))
+        sent = docs.sparkSession.sparkContext.broadcast(next(tables))
+        found = source.mapInArrow(_scan(sent), f"row {source.schema['row'].dataType.simpleString()}, {_HITS}")
     else:
         rows = numbered(docs, "contamination-rows")
-        source = rows.select("rid", or_empty(F.col(f"row.`{text}`")).cast("binary").alias("text"))
-        scans = [source.mapInArrow(_scan(t), f"rid long, {_HITS}") for t in tables]
-        hits = reduce(DataFrame.unionByName, scans)
-        found = rows.select("rid", F.struct(*[F.col(f"row.`{c}`") for c in keep or docs.columns]).alias("row")).join(_union_of_blocks(hits), "rid").drop("rid")
+        kept = rows.select("rid", F.struct(*[F.col(f"row.`{c}`") for c in keep or docs.columns]).alias("row"))
+        found = kept.join(_by_blocks(rows, text, tables), "rid").drop("rid")
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 

@@ -82,6 +82,26 @@ def test_contamination_equals_brute_force(spark, docs_of, block):
     assert clean.columns == docs.columns and clean.count() == sum(not expected(t, ITEMS)[3] for t in texts)
 
 
+def test_one_block_of_the_benchmark_is_alive_at_a_time(spark, docs_of, monkeypatch):
+    """A phrase that all items share goes over all blocks; each block's broadcast ends before the next begins."""
+    items = spark.createDataFrame([(i, f"shared phrase {' '.join(f'i{i}w{j}' for j in range(i % 3))}".strip()) for i in range(60)], "item_id long, text string")
+    made, alive, most = spark.sparkContext.broadcast, set(), []
+
+    def broadcast(value):
+        sent = made(value)
+        alive.add(id(sent))
+        most.append((len(alive), len(value.items)))
+        end = sent.destroy
+        sent.destroy = lambda *a: (alive.discard(id(sent)), end(*a))
+        return sent
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    texts = ["a shared phrase b", "clean", None, "shared phrase i1w0", "shared phrase i2w0 i2w1 shared phrase"]
+    got = {r[0]: (r.n_words, r.n_hit, r["items"]) for r in contamination(docs_of(texts), items, block=8).select("row.doc_id", "n_words", "n_hit", "items").collect()}
+    assert got == {i: expected(t, items.collect())[:3] for i, t in enumerate(texts)}
+    assert len(most) > 5 and max(n for n, _ in most) == 1 and not alive and max(size for _, size in most) <= 30
+
+
 def test_spans_are_cut_out(spark, docs_of, empty):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = {r[0]: r[1] for r in remove_spans(docs_of(["é a, Tiny item! b", None, "clean"]), items).select("row.doc_id", "text").collect()}

@@ -123,16 +123,20 @@ def clean_load(load: DataFrame, cfg: LoadConfig = LoadConfig()) -> DataFrame:
     return bot_filter(exclude_outages(load, cfg), cfg)
 
 
-def cleaning_counts(load: DataFrame, keys: Sequence[str] = (), cfg: LoadConfig = LoadConfig()) -> DataFrame:
-    """Buckets in, dropped as outage, dropped as bot traffic, and kept."""
+def cleaning_measures(cfg: LoadConfig = LoadConfig()) -> list[Column]:
+    """Counts of buckets: in, dropped as outage, dropped as bot traffic, and kept."""
     out = L.in_outage(F.col("ds"), cfg.outages)
     bot = F.col("error_rate") >= cfg.bot_error_threshold
-    return load.groupBy(*keys).agg(
+    return [
         F.count(F.lit(1)).alias("buckets"),
         F.count_if(out).alias("outage_buckets"),
         F.count_if(~out & bot).alias("bot_buckets"),
         F.count_if(~out & ~bot).alias("kept_buckets"),
-    )
+    ]
+
+
+def cleaning_counts(load: DataFrame, keys: Sequence[str] = (), cfg: LoadConfig = LoadConfig()) -> DataFrame:
+    return load.groupBy(*keys).agg(*cleaning_measures(cfg))
 
 
 def spine_join(

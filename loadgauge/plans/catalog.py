@@ -22,7 +22,7 @@ from ..config import (
 )
 from ..functions import capacity as C, load as L, logline as G
 from ..functions.timegrid import minute_index, to_timestamp
-from ..operators import additive as AD, anomaly, buckets as B, features as FE, finance, forecast as FC, metrics as M, reports as R, scaling as S
+from ..operators import additive as AD, anomaly, buckets as B, features as FE, finance, forecast as FC, metrics as M, outages as OU, reports as R, scaling as S
 from ..operators.blocks import POSITION, with_position
 from ..operators.policy import of, policy_join, with_policy
 from ..session import new_path, stage
@@ -112,6 +112,22 @@ def row_counts(spark, d):
     return AL.line_counts(A.mixed_lines(spark, d))
 
 
+@query
+def pipeline_counts(spark, d):
+    """What each stage read, dropped and kept on the way from the lines of a log to test features."""
+    counts = P.Counts()
+    log = AL.access_log(A.mixed_lines(spark, d), seen=lambda fields: counts.lines("log", fields))
+    log = stage(log.withColumn("site", A.site_of(F.col("host"))), "counted-log")
+    # The test part's log starts a day before the training part's ends.
+    overlap = F.lit(A.SPLIT).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY")
+    parts = {"train": FE.time_split(log, A.SPLIT, "timestamp")[0], "test": log.filter(F.col("timestamp") >= overlap)}
+    loads = [stage(counts.buckets(name, B.load_by_interval(part, INTERVAL, SITE, CFG), CFG), "counted-load") for name, part in parts.items()]
+    train, test = (B.clean_load(load, CFG).select("site", "ds", "intensity") for load in loads)
+    joined = FE.context_union(counts.rows("context", FE.context_tail(train, SITE)), counts.rows("own", test), SITE)
+    stage(counts.rows("series", joined), "counted-series")
+    return counts.table(spark)
+
+
 @query
 def table_scan(spark, d):
     path = new_path(spark, "load-csv")
@@ -177,6 +193,13 @@ def downtime_flag(spark, d):
     return load(spark, d, []).select("ds", "is_downtime")
 
 
+@query
+def outage_table(spark, d):
+    """Buckets flagged by outages of each site that overlap: every tenth kind of error is one of so many minutes."""
+    table = OU.flag_outages(load(spark, d), A.error_outages(spark, d), SITE)
+    return rounded(table.select("site", "ds", "y", "intensity", "is_downtime"))
+
+
 @query
 def exclude_downtime(spark, d):
     return B.cleaning_counts(load(spark, d), SITE, CFG)
@@ -430,15 +453,20 @@ def cumulative_cost(spark, d):
 
 @query
 def sequence_windows(spark, d):
-    """The windows themselves are reported as their length, their oldest row and a checksum."""
+    """The windows themselves are reported as their length, their oldest row and checksums.
+
+    The weighted one counts every cell by its row's place from 1 times its feature's, so that no two rows or features can change places.
+    """
     rows = with_position(stage(features(spark, d), "features"), SITE)
     windows = FC.sequence_windows(rows, FEATURES, 30, SITE)
     lag = FEATURES.index("lag_1step")
     sums = F.aggregate("window", F.lit(0.0), lambda total, row: total + row[lag])
+    cells = F.transform("window", lambda row, i: (i + 1) * F.aggregate(F.transform(row, lambda x, j: x * (j + 1)), F.lit(0.0), lambda total, x: total + x))
+    weighted = F.aggregate(cells, F.lit(0.0), lambda total, x: total + x)
     return rounded(
         windows.select(
             "site", "ds", F.col("intensity").alias("target"), F.size("window").alias("rows"),
-            F.col("window")[0][lag].alias("oldest_lag"), sums.alias("lag_sum"),
+            F.col("window")[0][lag].alias("oldest_lag"), sums.alias("lag_sum"), F.round(weighted, 1).alias("weighted_sum"),
         ),
         2,
     )

@@ -4,6 +4,8 @@ Every job reads the tables of the jobs before it under one root folder and write
 be run, repeated and scheduled alone, and a lost executor costs no more than the task it was running.
 
     access_log/part=train|test       parsed requests
+    rejects/part=...                 lines that are no requests, with the reason
+    counts/part=.../job=...          lines, rejects and buckets, as the jobs met them
     reports/top_hosts, content       counts of the training part
     load/part=.../interval=...       cleaned load buckets
     features/part=.../interval=...   model input
@@ -18,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..config import Settings, model_kind
 from ..operators import buckets as B, features as FE, finance, forecast as FC, metrics as M, reports as R
@@ -26,6 +28,7 @@ from ..operators.blocks import with_position
 from ..session import stage
 from ..sources import access_log as AL, tables as TB
 from . import capacity as CP
+from .pipeline import Counts
 
 TRAIN, TEST = "train", "test"
 _PART = T.StructField("part", T.StringType())
@@ -37,15 +40,28 @@ def _table(spark: SparkSession, root: str, name: str, schema: T.StructType, *par
 
 
 def parse(spark: SparkSession, log_path: str, root: str, part: str) -> dict[str, int]:
-    """Text log -> access_log; the only job that touches the text.  Returns how many rows were written."""
-    seen = Observation("parsed")
-    rows = AL.access_log(AL.read_lines(spark, log_path)).observe(
-        seen,
-        F.count(F.lit(1)).alias("parsed"),
-        F.count_if(F.col("timestamp").isNull()).alias("without_time"),
-    )
+    """Text log -> access_log, rejects and the counts of both.  Returns how many rows were written.
+
+    Lines are counted in the pass that parses them; a second pass stores the rejected ones if there are any.
+    """
+    counts, lines = Counts(), AL.read_lines(spark, log_path)
+    rows = AL.access_log(lines, seen=lambda fields: counts.lines("parse", fields))
     TB.write_table(rows.withColumn("part", F.lit(part)), f"{root}/access_log", ["part"])
-    return seen.get
+    _store_counts(spark, root, part, "parse", counts)
+    n = {measure: n for (_, measure), n in counts.get().items()}
+    if n["no_match"] + n["bad_bytes"]:
+        TB.write_table(AL.rejects(lines).withColumn("part", F.lit(part)), f"{root}/rejects", ["part"])
+    return {"parsed": n["parsed"], "without_time": n["bad_time"]}
+
+
+def _store_counts(spark: SparkSession, root: str, part: str, job: str, counts: Counts) -> None:
+    TB.write_table(counts.table(spark).withColumns({"part": F.lit(part), "job": F.lit(job)}), f"{root}/counts", ["part", "job"])
+
+
+def stored_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(stage, measure, n, part, job): what the jobs read, dropped and kept when they last ran."""
+    schema = T.StructType([T.StructField("stage", T.StringType()), T.StructField("measure", T.StringType()), T.StructField("n", T.LongType())])
+    return _table(spark, root, "counts", schema, _PART, T.StructField("job", T.StringType()))
 
 
 def access_log(spark: SparkSession, root: str, part: str) -> DataFrame:
@@ -61,11 +77,12 @@ def report(spark: SparkSession, root: str) -> None:
 
 def aggregate(spark: SparkSession, root: str, part: str, settings: Settings = Settings()) -> dict[str, int]:
     """access_log -> cleaned load tables of all intervals.  Returns the number of buckets written."""
-    seen = Observation("buckets")
+    counts = Counts()
     load = B.load_all_intervals(access_log(spark, root, part), settings.intervals, [], settings.load)
-    kept = B.clean_load(load, settings.load).observe(seen, F.count(F.lit(1)).alias("buckets"))
+    kept = B.clean_load(counts.buckets("clean", load, settings.load), settings.load)
     TB.write_table(kept.withColumn("part", F.lit(part)), f"{root}/load", ["part", "interval"])
-    return seen.get
+    _store_counts(spark, root, part, "aggregate", counts)
+    return {"buckets": counts.get()["clean", "kept_buckets"]}
 
 
 def load_table(spark: SparkSession, root: str, part: str, interval: str) -> DataFrame:

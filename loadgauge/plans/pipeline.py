@@ -4,11 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..config import FeatureConfig, LoadConfig
 from ..operators import buckets, features as FE
 from ..session import stage
+from ..sources import access_log
+
+
+class Counts:
+    """What stages read, dropped and kept: observed in the pass that writes their tables, and known once that has run."""
+
+    def __init__(self):
+        self._seen: list[tuple[str, Observation]] = []
+
+    def _observed(self, stage_name: str, df: DataFrame, measures: Sequence[Column]) -> DataFrame:
+        self._seen.append((stage_name, seen := Observation()))
+        return df.observe(seen, *measures)
+
+    def lines(self, stage_name: str, fields: DataFrame) -> DataFrame:
+        return self._observed(stage_name, fields, access_log.line_measures())
+
+    def buckets(self, stage_name: str, load: DataFrame, cfg: LoadConfig = LoadConfig()) -> DataFrame:
+        return self._observed(stage_name, load, buckets.cleaning_measures(cfg))
+
+    def rows(self, stage_name: str, df: DataFrame) -> DataFrame:
+        return self._observed(stage_name, df, [F.count(F.lit(1)).alias("rows")])
+
+    def get(self) -> dict[tuple[str, str], int]:
+        return {(name, measure): n for name, seen in self._seen for measure, n in seen.get.items()}
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(stage, measure, n); a handful of rows."""
+        return spark.createDataFrame([(*k, n) for k, n in self.get().items()], "stage string, measure string, n long")
 
 
 def cleaned_load(

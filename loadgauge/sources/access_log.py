@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import logline as G
@@ -35,7 +37,9 @@ def _field(i: int) -> Column:
     return F.get(F.col("_f"), F.lit(i))
 
 
-def _records(lines: DataFrame, value: str, keep: tuple[str, ...], name: str, time: Column) -> DataFrame:
+def _records(
+    lines: DataFrame, value: str, keep: tuple[str, ...], name: str, time: Column, seen: Callable[[DataFrame], DataFrame] = lambda fields: fields
+) -> DataFrame:
     record = F.struct(
         _field(0).alias("host"),
         time.alias(name),
@@ -45,7 +49,7 @@ def _records(lines: DataFrame, value: str, keep: tuple[str, ...], name: str, tim
     )
     # Exploded again, so that conditions on the record's columns do not reach back into its making.
     found = F.explode(F.when(F.col("_bytes").isNotNull(), F.array(record)))
-    return _fields(lines, value).withColumn("_time", _field(1)).select(*keep, found.alias("_r")).select(*keep, "_r.*")
+    return seen(_fields(lines, value)).withColumn("_time", _field(1)).select(*keep, found.alias("_r")).select(*keep, "_r.*")
 
 
 def parse_lines(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -57,9 +61,14 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: tuple[str, ...] =
     return _records(lines, value, keep, "timestamp_text", F.col("_time"))
 
 
-def access_log(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Lines -> access_log rows; a record whose time is no time stays, with NULL."""
-    return _records(lines, value, keep, "timestamp", G.normalize_time(F.col("_time")))
+def access_log(
+    lines: DataFrame, value: str = "value", keep: tuple[str, ...] = (), seen: Callable[[DataFrame], DataFrame] = lambda fields: fields
+) -> DataFrame:
+    """Lines -> access_log rows; a record whose time is no time stays, with NULL.
+
+    ``seen`` gets the table of all lines on the way, to count them by :func:`line_measures` in the same pass.
+    """
+    return _records(lines, value, keep, "timestamp", G.normalize_time(F.col("_time")), seen)
 
 
 def _reason() -> Column:
@@ -71,13 +80,18 @@ def rejects(lines: DataFrame, value: str = "value") -> DataFrame:
     return _fields(lines, value).select(F.col(value), _reason().alias("reason")).filter(F.col("reason").isNotNull())
 
 
-def line_counts(lines: DataFrame, value: str = "value") -> DataFrame:
-    """One row: lines read, parsed, rejected by reason, and parsed lines without a usable time."""
-    reason, timed = F.col("_reason"), G.normalize_time(_field(1))
-    return _fields(lines, value).withColumn("_reason", _reason()).agg(
+def line_measures() -> list[Column]:
+    """Counts of lines: read, parsed, rejected by reason, and parsed ones without a usable time."""
+    reason, timed = _reason(), G.normalize_time(_field(1))
+    return [
         F.count(F.lit(1)).alias("lines"),
         F.count_if(reason.isNull()).alias("parsed"),
-        F.count_if(reason == NO_MATCH).alias("no_match"),
-        F.count_if(reason == BAD_BYTES).alias("bad_bytes"),
+        F.count_if(F.coalesce(reason == NO_MATCH, F.lit(False))).alias("no_match"),
+        F.count_if(F.coalesce(reason == BAD_BYTES, F.lit(False))).alias("bad_bytes"),
         F.count_if(reason.isNull() & timed.isNull()).alias("bad_time"),
-    )
+    ]
+
+
+def line_counts(lines: DataFrame, value: str = "value") -> DataFrame:
+    """One row of :func:`line_measures`."""
+    return _fields(lines, value).agg(*line_measures())

@@ -101,3 +101,11 @@ def mixed_lines(spark: SparkSession, folder: str) -> DataFrame:
 def pages_log(spark: SparkSession, folder: str) -> DataFrame:
     """pages as requests for their address."""
     return table(spark, folder, "pages").select(F.concat(F.lit("GET "), "url", F.lit(" HTTP/1.0")).alias("request"))
+
+
+def error_outages(spark: SparkSession, folder: str) -> DataFrame:
+    """(site, start, end): an error whose k ends in 0 stands for an outage of k minutes on its site."""
+    k = _k()
+    errors = table(spark, folder, "events").filter((F.col("event_type") == "error") & (k % 10 == 0))
+    end = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), k)
+    return errors.select((F.col("user_id") % SITES).cast("int").alias("site"), F.col("ts").alias("start"), end.alias("end"))

@@ -276,6 +276,17 @@ SQL["sequence_windows"] = select(
   FROM feat WINDOW w AS (PARTITION BY site ORDER BY ds ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
 ) WHERE rows = 30""",
 )
+CELLS = " + ".join(f"{j} * {f}" for j, f in enumerate(FEATURES, 1))
+SQL["sequence_windows"] = select(
+    *FEATURES_15,
+    f"placed AS (SELECT *, {CELLS} AS cells, row_number() OVER (PARTITION BY site ORDER BY ds) AS rn FROM feat)",
+    body=f"""SELECT site, ds, {r('target', digits=2)}, rows, {r('oldest_lag', 'lag_sum', digits=2)}, round(placed_sum - (rn - 31) * cell_sum, 1) + 0.0 AS weighted_sum FROM (
+  SELECT site, ds, rn, intensity AS target, CAST(count(*) OVER w AS INTEGER) AS rows,
+         first_value(lag_1step) OVER w AS oldest_lag, sum(lag_1step) OVER w AS lag_sum,
+         sum(cells) OVER w AS cell_sum, sum(rn * cells) OVER w AS placed_sum
+  FROM placed WINDOW w AS (PARTITION BY site ORDER BY ds ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)
+) WHERE rows = 30""",
+)
 SQL["warmup_cut"] = select(
     *PREDICTED, NAMED, cut("96", "named"), body="SELECT site, model, ds, round(y, 4) AS y, round(raw_yhat, 4) AS yhat FROM kept"
 )
@@ -451,3 +462,39 @@ SQL["rolling_refit"] = select(
   count(*) FILTER (WHERE ds >= cutoff AND ds < cutoff + INTERVAL 5 DAY) AS n_test
 FROM feat, folds GROUP BY site, fold HAVING n_train > 0 AND n_test > 0""",
 )
+SQL["pipeline_counts"] = select(
+    X.MIXED,
+    X.parsed("mixed"),
+    """checked AS (
+  SELECT *, f5 = '-' OR TRY_CAST(f5 AS BIGINT) IS NOT NULL AS good, try_strptime(substr(f2, 1, 20), '%d/%b/%Y:%H:%M:%S') AS stamp FROM fields),
+log AS (
+  SELECT CAST(CAST(substr(f1, 2) AS BIGINT) % 4 AS INTEGER) AS site, stamp AS "timestamp", f3 AS request, CAST(f4 AS INTEGER) AS status,
+         CASE WHEN f5 = '-' THEN 0 ELSE TRY_CAST(f5 AS BIGINT) END AS bytes
+  FROM checked WHERE hit AND good)""",
+    X.load(15, where=f'"timestamp" < {SPLIT}', p="tr_"),
+    X.load(15, where=f'"timestamp" >= {SPLIT} - INTERVAL 1 DAY', p="te_"),
+    "tail AS (SELECT site, ds FROM tr_clean QUALIFY ds > max(ds) OVER (PARTITION BY site) - INTERVAL 8 DAY)",
+    "every AS (SELECT site, ds FROM tail UNION SELECT site, ds FROM te_clean)",
+    body="\nUNION ALL ".join(
+        [
+            f"SELECT 'log' AS stage, '{m}' AS measure, count(*) FILTER ({c}) AS n FROM checked"
+            for m, c in (("lines", "TRUE"), ("parsed", "hit AND good"), ("no_match", "NOT hit"), ("bad_bytes", "hit AND NOT good"), ("bad_time", "hit AND good AND stamp IS NULL"))
+        ]
+        + [
+            f"SELECT '{part}', '{m}', count(*) FILTER ({c}) FROM {p}_load"
+            for part, p in (("train", "tr"), ("test", "te"))
+            for m, c in (
+                ("buckets", "TRUE"), ("outage_buckets", X.OUTAGE), ("bot_buckets", f"NOT ({X.OUTAGE}) AND error_rate >= 0.8"), ("kept_buckets", f"NOT ({X.OUTAGE}) AND error_rate < 0.8"),
+            )
+        ]
+        + [f"SELECT '{name}', 'rows', count(*) FROM {table}" for name, table in (("context", "tail"), ("own", "te_clean"), ("series", "every"))]
+    ),
+)
+SQL["outage_table"] = select(
+    *LOADED,
+    """failed AS (
+  SELECT CAST(user_id % 4 AS INTEGER) AS site, ts AS a, ts + to_minutes(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS b FROM events
+  WHERE event_type = 'error' AND CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 = 0)""",
+    body=f"""SELECT site, ds, y, {r('intensity')}, CAST(EXISTS (SELECT 1 FROM failed f WHERE f.site = load.site AND load.ds BETWEEN a AND b) AS INTEGER) AS is_downtime
+FROM load""",
+)

@@ -46,6 +46,17 @@ def test_stored_load_equals_the_operators(spark, root):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_jobs_store_counts_and_rejects(spark, root, small):
+    n = {(r.part, r.job, r.measure): r.n for r in jobs.stored_counts(spark, root).collect()}
+    pages = A.table(spark, small, "pages").count()
+    assert (n["train", "parse", "lines"], n["train", "parse", "no_match"]) == (700, 0)
+    assert (n["test", "parse", "lines"], n["test", "parse", "parsed"], n["test", "parse", "no_match"]) == (300 + pages, 300, pages)
+    assert n["train", "aggregate", "kept_buckets"] == sum(jobs.load_table(spark, root, jobs.TRAIN, i).count() for i in SETTINGS.intervals)
+    assert n["train", "aggregate", "outage_buckets"] > 0
+    rejects = spark.read.parquet(f"{root}/rejects")
+    assert {(r.part, r.reason, r["count"]) for r in rejects.groupBy("part", "reason").count().collect()} == {("test", "no match", pages)}
+
+
 def test_partitions_are_pruned(spark, root):
     plan = jobs.load_table(spark, root, jobs.TRAIN, "15min")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part" in plan and "PushedFilters: []" in plan

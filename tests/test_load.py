@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loadgauge.config import LoadConfig, interval_minutes
 from loadgauge.functions.timegrid import left_edge, minute_index, to_timestamp
-from loadgauge.operators import buckets as B
+from loadgauge.operators import buckets as B, outages as OU
 from loadgauge.sources import adapters as A
 
 T0 = datetime(2024, 1, 12, 13, 0)
@@ -120,3 +120,18 @@ def test_interval_names():
     for bad in ("7min", "0min", "15", "1h", "min"):
         with pytest.raises(ValueError):
             interval_minutes(bad)
+
+
+def test_outages_from_a_table(spark):
+    """Overlapping, repeated, over midnight, of nobody, backwards, without an end; buckets are not doubled."""
+    at = lambda d, h: datetime(2024, 1, d, h)
+    load = spark.createDataFrame([(s, at(d, h), 9) for s in ("a", "b", None) for d in (1, 2, 3) for h in range(24)], "site string, ds timestamp_ntz, is_downtime int")
+    spans = [("a", at(1, 22), at(3, 1)), ("a", at(2, 3), at(2, 5)), ("a", at(2, 3), at(2, 5)), (None, at(1, 0), at(1, 0)), ("b", at(3, 5), at(3, 4)), ("b", at(3, 5), None), ("b", None, at(3, 4))]
+    outages = spark.createDataFrame(spans, "site string, start timestamp_ntz, end timestamp_ntz")
+    got = OU.flag_outages(load, outages, ["site"])
+    assert got.columns == ["site", "ds", "is_downtime"] and got.count() == load.count()
+    down = {(r.site, r.ds) for r in got.filter("is_downtime = 1").collect()}
+    assert down == {("a", at(1, h)) for h in (22, 23)} | {("a", at(2, h)) for h in range(24)} | {("a", at(3, h)) for h in (0, 1)} | {(None, at(1, 0))}
+    everyone = OU.exclude_outages(load, outages.drop("site"), ["site"])
+    assert everyone.count() == 3 * 72 - 3 * (28 + 1)
+    assert OU.exclude_outages(load, outages.limit(0), ["site"]).count() == load.count()

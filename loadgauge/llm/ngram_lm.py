@@ -1,18 +1,21 @@
 """Interpolated modified Kneser-Ney model over words, counted in Spark, kept as sorted hash arrays.
 
-Counting goes in blocks: a task turns texts into arrays of 64-bit word hashes, counts them and sends one array per bucket; the task that
-gets a bucket merges its arrays and writes them to the shared folder as ``.npy`` files. Scoring tasks map these files into memory
-and look up a batch's distinct n-grams in sorted order. Nothing but totals, counts of counts and the few words that are
-very frequent comes to the driver. Files are written under another name and renamed, so a repeated task writes the same.
-
-Words and their successors are dealt by the first word; the successors of a very frequent word are dealt by both words, so no bucket
-grows with one word. The model holds words and pairs of words (a text's start counts as a word before the first), and with order 3 triples.
-Then pairs count by the distinct words before them, except those that start a text; triples are dealt by the middle word, a very
-frequent one's by the first word too, and by all three if that is very frequent as well.
+Words are counted first and get numbers, small ones for frequent words. Then a task turns texts into arrays of numbers, counts their triples and
+sends one compressed array per bucket; the task that gets a bucket merges its arrays and writes them to the shared folder. Scoring tasks map
+these files into memory and look up a batch's distinct n-grams in sorted order. Nothing but totals, counts of counts and the few words that
+are very frequent comes to the driver. Files are written under another name and renamed, so a repeated task writes the same.
+
+Triples and pairs are dealt by the first word; those of a very frequent word by the second one too, and triples of two such words by all
+three, so no bucket grows with one word. A text's start counts as a word before the first. A bucket holds the hashes of its histories (two words) in
+order, and after each the numbers of the words that follow it with their counts; the many histories that one word follows once are kept
+apart, without counts. With order 3 pairs count by the distinct words before them, except those that start a text; a pair's count stands beside
+the history that the pair is. With order 2 there are no histories, and pairs count as often as they occur.
 """
 
 from __future__ import annotations
 
+import json
+import mmap
 import os
 import uuid
 from collections.abc import Iterator
@@ -27,12 +30,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import new_path
 from .common import WordHashes, or_empty, pieces
 
-#: Tokens counted before a task sends them on, tokens of a bucket, and bytes of text per bucket of the word table.
-FLUSH, BUCKET, WORD_BUCKET_BYTES = 2_000_000, 2_000_000, 64 << 20
+#: Tokens counted before a task sends them on, tokens of a bucket, bytes of text per bucket of the word table, and files a scorer keeps open.
+FLUSH, BUCKET, WORD_BUCKET_BYTES, OPEN_FILES = 2_000_000, 2_000_000, 64 << 20, 1024
 
 _U = np.uint64
-# No word holds a line feed. NONE stands before a text's start.
-START, END, NONE = (_U(xxhash.xxh3_64_intdigest(x)) for x in (b"\n<s>", b"\n</s>", b"\n"))
+# No word holds a line feed.
+START, END = (_U(xxhash.xxh3_64_intdigest(x)) for x in (b"\n<s>", b"\n</s>"))
 #: Added to the numbers of buckets that hold histories; the rows with totals of triples and of these have numbers below -_FAR and -2 * _FAR.
 _FAR = 1 << 40
 
@@ -41,7 +44,8 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """One hash of two."""
     x = a * _U(0x9E3779B97F4A7C15) + (b ^ (b >> _U(31))) * _U(0xC2B2AE3D27D4EB4F)
     x = (x ^ (x >> _U(29))) * _U(0x165667B19E3779F9)
-    return x ^ (x >> _U(32))
+    x = (x ^ (x >> _U(32))) * _U(0x9E3779B97F4A7C15)
+    return x ^ (x >> _U(29))
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -49,22 +53,21 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
 
 
-def pair_bucket(first: np.ndarray, second: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
-    own = mixed(first, np.zeros_like(first))
-    if len(hot):
-        often = hot[np.minimum(np.searchsorted(hot, first), len(hot) - 1)] == first
-        own = np.where(often, mixed(first, second), own)
-    return bucket_of(own, buckets)
-
-
 def _among(words: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.minimum(np.searchsorted(hot, words), len(hot) - 1)] == words
 
 
+def first_bucket(first: np.ndarray, buckets: int) -> np.ndarray:
+    return bucket_of(mixed(first, np.zeros_like(first)), buckets)
+
+
+def pair_bucket(first: np.ndarray, second: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
+    return np.where(_among(first, hot), bucket_of(mixed(first, second), buckets), first_bucket(first, buckets))
+
+
 def triple_bucket(u: np.ndarray, v: np.ndarray, w: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
-    history = mixed(u, v)
-    often = np.where(_among(u, hot) | (u == NONE), mixed(history, w), mixed(history, np.zeros_like(v)))
-    return bucket_of(np.where(_among(v, hot), often, mixed(v, np.zeros_like(v))), buckets)
+    both = _among(u, hot) & _among(v, hot)
+    return np.where(both, bucket_of(mixed(mixed(u, v), w), buckets), pair_bucket(u, v, hot, buckets))
 
 
 def local_folder(uri: str) -> str:
@@ -75,16 +78,93 @@ def local_folder(uri: str) -> str:
     return parsed.path
 
 
-def _save(folder: str, name: str, array: np.ndarray) -> None:
+def _save(folder: str, name: str, **arrays: np.ndarray) -> None:
+    """One file of several arrays: a line that describes them, then their bytes, each from a multiple of 8 on."""
     os.makedirs(folder, exist_ok=True)
+    head = json.dumps([(k, a.dtype.str, a.shape) for k, a in arrays.items()]).encode()
     part = f"{folder}/.{name}.{uuid.uuid4().hex}"
     with open(part, "wb") as out:
-        np.save(out, array)
-    os.replace(part, f"{folder}/{name}.npy")
+        out.write(len(head).to_bytes(8, "little") + head + b"\0" * (-len(head) % 8))
+        for a in arrays.values():
+            out.write(a.tobytes() + b"\0" * (-a.nbytes % 8))
+    os.replace(part, f"{folder}/{name}")
+
+
+def _open(folder: str, name: str) -> dict[str, np.ndarray]:
+    """The arrays of a file, mapped."""
+    with open(f"{folder}/{name}", "rb") as file:
+        held = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+    size = int.from_bytes(held[:8], "little")
+    at, arrays = 8 + size + -size % 8, {}
+    for key, kind, shape in json.loads(held[8 : 8 + size]):
+        n = int(np.prod(shape))
+        arrays[key] = np.frombuffer(held, kind, n, at).reshape(shape)
+        at += arrays[key].nbytes + -arrays[key].nbytes % 8
+    return arrays
 
 
-def _open(folder: str, name: str) -> np.ndarray:
-    return np.load(f"{folder}/{name}.npy", mmap_mode="r")
+def _compact(counts: np.ndarray) -> np.ndarray:
+    """The counts in the smallest type that holds them all."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers in few bytes: the low bytes of all, then the next ones, compressed."""
+    x = _compact(x)
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+    body = pa.Codec("zstd", 1).compress(planes, asbytes=True)
+    return len(x).to_bytes(8, "little") + bytes([x.itemsize]) + len(body).to_bytes(8, "little") + body
+
+
+def _unpacked(data: bytes, at: int) -> tuple[np.ndarray, int]:
+    n, size, length = int.from_bytes(data[at : at + 8], "little"), data[at + 8], int.from_bytes(data[at + 9 : at + 17], "little")
+    planes = pa.Codec("zstd").decompress(data[at + 17 : at + 17 + length], n * size, asbytes=True)
+    x = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, n).T).view(f"<u{size}").ravel()
+    return x.astype(np.uint64), at + 17 + length
+
+
+def _pack(sorted_columns: list[np.ndarray], counts: np.ndarray) -> bytes:
+    """Rows in order of their columns, as steps from row to row; a column starts anew where one before it changes."""
+    out, fresh = [], np.zeros(len(counts), bool)
+    fresh[:1] = True
+    for c in sorted_columns:
+        before = np.concatenate((c[:1] * _U(0), c[:-1]))
+        out.append(_packed(np.where(fresh, c, c - before)))
+        fresh = fresh | (c != before)
+    return b"".join([*out, _packed(counts)])
+
+
+def _unpack(data: bytes, columns: int) -> list[np.ndarray]:
+    at, out, fresh = 0, [], None
+    for _ in range(columns):
+        step, at = _unpacked(data, at)
+        if fresh is None:
+            fresh = np.zeros(len(step), bool)
+            fresh[:1] = True
+        total = np.cumsum(step, dtype=np.uint64)
+        first = np.flatnonzero(fresh)
+        offset = np.repeat(total[first] - step[first], np.diff(np.append(first, len(step))))
+        value = total - offset
+        fresh = fresh | np.concatenate((fresh[:1], value[1:] != value[:-1]))
+        out.append(value)
+    return [*out, _unpacked(data, at)[0]]
+
+
+def _in_order(columns: list[np.ndarray], counts: np.ndarray, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows in order, and the sums of their counts. Columns that fit into one number are sorted as one."""
+    if not len(counts):
+        return columns, counts
+    if len(columns) * bits <= 64:
+        key = columns[0]
+        for c in columns[1:]:
+            key = (key << _U(bits)) | c
+        order = np.argsort(key, kind="stable")
+        changed = key[order][1:] != key[order][:-1]
+    else:
+        order = np.lexsort(columns[::-1])
+        changed = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    first = np.flatnonzero(np.concatenate(([True], changed)))
+    return [c[order[first]] for c in columns], np.add.reduceat(counts[order], first)
 
 
 def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -95,10 +175,10 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], *[np.add.reduceat(v[order], first) if len(first) else v[:0] for v in values]
 
 
-def _token_arrays(batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[np.ndarray]:
-    """Word hashes of whole texts, each with its end, and with its start if ``ends``; about FLUSH tokens at a time."""
+def _token_arrays(batches: Iterator[pa.RecordBatch], starts: bool) -> Iterator[np.ndarray]:
+    """Word hashes of whole texts, each with its end, and with its start if ``starts``; about FLUSH tokens at a time."""
     words, held, n = WordHashes(), [], 0
-    head = [START] if ends else []
+    head = [START] if starts else []
     for batch in pieces(batches, "text"):
         for text in batch.column("text").to_pylist():
             w = text.lower().split()
@@ -111,18 +191,28 @@ def _token_arrays(batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[np.
         yield np.concatenate(held)
 
 
-def _blocks(bucket: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-    """One row per bucket with the columns' bytes; the rows of a bucket stand together."""
+def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows of each bucket, in their order."""
     order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
-    ends = np.append(first[1:], len(bucket))
-    data = [pa.array([c[i:j].tobytes() for i, j in zip(first, ends)], pa.binary()) for c in (x[order] for x in columns)]
-    return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int64()), *data], names=["bucket", *"abcd"[: len(data)]])
+    kept = bucket[order]
+    edges = [0, *(np.flatnonzero(kept[1:] != kept[:-1]) + 1).tolist(), len(kept)] if len(kept) else [0]
+    for i, j in zip(edges, edges[1:]):
+        yield int(kept[i]), order[i:j]
+
+
+_SENT = "bucket long, data binary, more binary"
+
 
+def _sent(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+    bucket, data, more = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(data, pa.binary()), pa.array(more, pa.binary())], names=["bucket", "data", "more"])
 
-def _joined(table: pa.Table, name: str, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+
+def _received(table: pa.Table, columns: int, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The merged rows of a bucket's arrays."""
+    parts = [_unpack(x, columns) for x in table["data"].to_pylist()]
+    *rows, counts = [np.concatenate(x) for x in zip(*parts)]
+    return _in_order(rows, counts.astype(np.int64), bits)
 
 
 def _counts_of_counts(c: np.ndarray) -> list[int]:
@@ -131,15 +221,16 @@ def _counts_of_counts(c: np.ndarray) -> list[int]:
 
 @dataclass(frozen=True)
 class Model:
-    """Where the arrays are and the few numbers that go with them; the last three describe words as successors, and pairs."""
+    """Where the arrays are and the few numbers that go with them; ``numbers`` are beyond all words': the start, what is before it, unknown."""
 
     folder: str
     tokens: int
     words: int
     word_buckets: tuple[int, ...]
     n_word_buckets: int
+    numbers: tuple[int, int, int]
     pair_buckets: tuple[int, ...]
-    n_pair_buckets: int
+    n_buckets: int
     hot: np.ndarray
     hot_stats: np.ndarray
     pairs: int
@@ -149,7 +240,6 @@ class Model:
     order: int = 3
     triple_buckets: tuple[int, ...] = ()
     often_buckets: tuple[int, ...] = ()
-    n_triple_buckets: int = 1
     triple_discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
 
 
@@ -171,15 +261,38 @@ def discount_of(c: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array((0.0, *d))[np.minimum(c, 3)]
 
 
-def _compact(counts: np.ndarray) -> np.ndarray:
-    """The counts in the smallest type that holds them all."""
-    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+def _kinds(counts: np.ndarray) -> list[np.ndarray]:
+    return [(counts == 1).astype(np.int64), (counts == 2).astype(np.int64), (counts >= 3).astype(np.int64)]
+
+
+def _split(stats: np.ndarray) -> dict[str, np.ndarray]:
+    """Columns of statistics, each in its smallest type."""
+    return {f"s{i}": _compact(c) for i, c in enumerate(stats.T)}
 
 
-def _by_history(history: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct histories, and for each how many tokens follow it, and how many words follow it once, twice, more often."""
-    before, *stats = _sums(history, counts, *[kind.astype(np.int64) for kind in (counts == 1, counts == 2, counts >= 3)])
-    return before, np.stack(stats, axis=1) if len(before) else np.zeros((0, 4), np.int64)
+class Numbers:
+    """From word hashes to numbers, by the mapped word tables."""
+
+    def __init__(self, folder: str, buckets: int, known: set[int], special: tuple[int, int, int]):
+        self.start, _, self.unknown = special
+        self.buckets, self.known, self.folder, self.open = buckets, known, folder, {}
+
+    def table(self, b: int) -> dict[str, np.ndarray]:
+        if b not in self.open:
+            self.open[b] = _open(self.folder, f"words-{b}")
+        return self.open[b]
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        unique, back = np.unique(hashes, return_inverse=True)
+        out = np.full(len(unique), self.unknown, np.uint64)
+        for b, rows in _by_bucket(bucket_of(unique, self.buckets)):
+            if b in self.known:
+                held = self.table(b)
+                at = np.minimum(np.searchsorted(held["hash"], unique[rows]), len(held["hash"]) - 1)
+                hit = held["hash"][at] == unique[rows]
+                out[rows[hit]] = held["number"][at[hit]]
+        out[unique == START] = self.start
+        return out[back]
 
 
 def fit(docs: DataFrame, text: str = "text", order: int = 3) -> Model:
@@ -195,221 +308,290 @@ def fit(docs: DataFrame, text: str = "text", order: int = 3) -> Model:
     def count_words(batches):
         for h in _token_arrays(batches, False):
             keys, counts = np.unique(h, return_counts=True)
-            yield _blocks(bucket_of(keys, nw), keys, counts.astype(np.uint32))
+            yield _sent([(b, keys[rows].tobytes(), _packed(counts[rows])) for b, rows in _by_bucket(bucket_of(keys, nw))])
 
     def merge_words(key, table):
         b = key[0].as_py()
-        keys, counts = _sums(_joined(table, "a", np.uint64), _joined(table, "b", np.uint32).astype(np.int64))
-        _save(folder, f"words-{b}", keys)
-        _save(folder, f"counts-{b}", counts)
-        often = counts >= BUCKET // 4
-        return pa.table({"bucket": [b], "tokens": [int(counts.sum())], "words": [len(keys)], "hot": [keys[often].tobytes()]})
-
-    blocks = data.mapInArrow(count_words, "bucket long, a binary, b binary").groupBy("bucket")
-    found = blocks.applyInArrow(merge_words, "bucket long, tokens long, words long, hot binary").collect()
+        keys = np.frombuffer(b"".join(table["data"].to_pylist()), np.uint64)
+        keys, counts = _sums(keys, np.concatenate([_unpacked(x, 0)[0] for x in table["more"].to_pylist()]).astype(np.int64))
+        rank = np.empty(len(keys), np.uint64)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(keys), dtype=np.uint64)
+        number = rank * _U(nw) + _U(b)
+        _save(folder, f"words-{b}", hash=keys, count=_compact(counts), number=_compact(number))
+        return pa.table({"bucket": [b], "tokens": [int(counts.sum())], "words": [len(keys)], "hot": [number[counts >= BUCKET // 4].tobytes()]})
+
+    sent = data.mapInArrow(count_words, _SENT).groupBy("bucket")
+    found = sent.applyInArrow(merge_words, "bucket long, tokens long, words long, hot binary").collect()
     tokens, words = sum(r.tokens for r in found), sum(r.words for r in found)
-    hot = np.unique(np.concatenate([np.array([START]), *[np.frombuffer(r.hot, np.uint64) for r in found]]))
-    np_, nt = max(1, -(-tokens // BUCKET)), max(1, -(-2 * tokens // BUCKET))
+    word_buckets = tuple(sorted(r.bucket for r in found))
+    beyond = max((r.words for r in found), default=0) * nw
+    special = start, none, _ = beyond, beyond + 1, beyond + 2
+    bits = (beyond + 2).bit_length()
+    hot = np.unique(np.concatenate([np.array([start, none], np.uint64), *[np.frombuffer(r.hot, np.uint64) for r in found]]))
+    n = max(1, -(-order * tokens // (2 * BUCKET)))
+
+    def numbered_texts(batches) -> Iterator[np.ndarray]:
+        numbers = Numbers(folder, nw, set(word_buckets), special)
+        for h in _token_arrays(batches, True):
+            yield numbers(h)
 
     def count_pairs(batches):
-        for h in _token_arrays(batches, True):
-            inside = h[1:] != START
-            first, second = h[:-1][inside], h[1:][inside]
-            _, at, counts = np.unique(mixed(first, second), return_index=True, return_counts=True)
-            first, second = first[at], second[at]
-            order = np.argsort(first, kind="stable")  # equal neighbours compress
-            first, second, counts = first[order], second[order], counts[order].astype(np.uint32)
-            yield _blocks(pair_bucket(first, second, hot, np_), first, second, counts)
+        for h in numbered_texts(batches):
+            inside = np.flatnonzero(h != start)
+            (v, w), counts = _in_order([h[inside - 1], h[inside]], np.ones(len(inside), np.int64), bits)
+            yield _sent([(b, _pack([v[rows], w[rows]], counts[rows]), b"") for b, rows in _by_bucket(pair_bucket(v, w, hot, n))])
 
     def count_triples(batches):
-        for h in _token_arrays(batches, True):
-            inside = np.flatnonzero(h != START)
+        for h in numbered_texts(batches):
+            inside = np.flatnonzero(h != start)
             v, w = h[inside - 1], h[inside]
-            u = np.where(v == START, NONE, h[inside - 2])
-            _, at, counts = np.unique(mixed(mixed(u, v), w), return_index=True, return_counts=True)
-            at, counts = (x[np.lexsort((u[at], v[at]))] for x in (at, counts))  # equal neighbours compress
-            u, v, w = u[at], v[at], w[at]
-            yield _blocks(triple_bucket(u, v, w, hot, nt), u, v, w, counts.astype(np.uint32))
+            u = np.where(v == start, _U(none), h[inside - 2])
+            (u, v, w), counts = _in_order([u, v, w], np.ones(len(inside), np.int64), bits)
+            yield _sent([(b, _pack([u[rows], v[rows], w[rows]], counts[rows]), b"") for b, rows in _by_bucket(triple_bucket(u, v, w, hot, n))])
 
     def merge_triples(key, table):
         b = key[0].as_py()
-        u, v, w = (_joined(table, n, np.uint64) for n in "abc")
-        counts = _joined(table, "d", np.uint32).astype(np.int64)
-        starts = u == NONE
-        heads, head_counts = (v[starts], w[starts]), counts[starts]
-        u, v, w, counts = (x[~starts] for x in (u, v, w, counts))
-        triple = mixed(mixed(u, v), w)
-        keys, at = np.unique(triple, return_index=True)
-        _, counts = _sums(triple, counts)
-        _save(folder, f"triples-{b}", keys)
-        _save(folder, f"triple-counts-{b}", _compact(counts))
-        u, v, w = u[at], v[at], w[at]
-        history = mixed(u, v)
-        before, stats = _by_history(history, counts)
-        often = np.isin(before, history[_among(u, hot) & _among(v, hot)])
-        _save(folder, f"before3-{b}", before[~often])
-        _save(folder, f"before3-stats-{b}", _compact(stats[~often]))
-        _, at, times = np.unique(mixed(v, w), return_index=True, return_counts=True)
-        first, second, times = (np.concatenate(x) for x in ((v[at], heads[0]), (w[at], heads[1]), (times, head_counts)))
-        order_ = np.argsort(first, kind="stable")
-        first, second, times = first[order_], second[order_], times[order_].astype(np.uint32)
-        pairs = _blocks(pair_bucket(first, second, hot, np_), first, second, times)
-        parted = _blocks(_FAR + bucket_of(mixed(before[often], np.zeros_like(before[often])), nt), before[often], stats[often])
-        parted = parted.append_column("c", pa.nulls(parted.num_rows, pa.binary()))
-        sums = np.array([len(keys), *_counts_of_counts(counts)], np.int64).tobytes()
-        total = pa.record_batch([pa.array([-_FAR - 1 - b]), pa.array([b""]), pa.array([b""]), pa.array([sums])], names=["bucket", "a", "b", "c"])
-        return pa.Table.from_batches([pairs, parted, total])
+        (u, v, w), counts = _received(table, 3, bits)
+        heads = u == none
+        head_rows, head_counts = [v[heads], w[heads]], counts[heads]
+        u, v, w, counts = (x[~heads] for x in (u, v, w, counts))
+        first = np.flatnonzero(np.concatenate(([True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])))) if len(u) else np.zeros(0, np.int64)
+        length = np.diff(np.append(first, len(u)))
+        history = mixed(u[first], v[first])
+        stats = np.stack([np.add.reduceat(x, first) if len(first) else x[:0] for x in (counts, *_kinds(counts))], axis=1)
+        single = (length == 1) & (counts[first] == 1)
+        by_hash = np.argsort(history)
+        alone, more = by_hash[single[by_hash]], by_hash[~single[by_hash]]
+        rows = np.repeat(first[more] - np.cumsum(length[more]) + length[more], length[more]) + np.arange(length[more].sum())
+        starts = np.concatenate(([0], np.cumsum(length[more])))
+        _save(
+            folder, f"triples-{b}", single=history[alone], single_next=_compact(w[first[alone]]), history=history[more], start=_compact(starts),
+            next=_compact(w[rows]), count=_compact(counts[rows]), **_split(stats[more]),
+        )
+        both = _among(u[first], hot) & _among(v[first], hot)
+        (x, y), times = _in_order([v, w], np.ones(len(v), np.int64), bits)
+        (x, y), times = _in_order([np.concatenate((x, head_rows[0])), np.concatenate((y, head_rows[1]))], np.concatenate((times, head_counts)), bits)
+        out = [(to, _pack([x[r], y[r]], times[r]), b"") for to, r in _by_bucket(pair_bucket(x, y, hot, n))]
+        often, parted = history[both], stats[both]
+        out += [(_FAR + to, often[r].tobytes(), parted[r].tobytes()) for to, r in _by_bucket(bucket_of(often, n))]
+        return pa.Table.from_batches([_sent([*out, (-_FAR - 1 - b, np.array([len(u), *_counts_of_counts(counts)], np.int64).tobytes(), b"")])])
 
     def merge_often(b, table):
-        before, *stats = _sums(_joined(table, "a", np.uint64), *_joined(table, "b", np.int64).reshape(-1, 4).T)
-        _save(folder, f"often3-{b}", before)
-        _save(folder, f"often3-stats-{b}", _compact(np.stack(stats, axis=1)))
-        return pa.table({"bucket": [-2 * _FAR - 1 - b], "a": [b""], "b": [b""], "c": [b""]}, pa.schema([("bucket", pa.int64()), *[(n, pa.binary()) for n in "abc"]]))
+        keys = np.frombuffer(b"".join(table["data"].to_pylist()), np.uint64)
+        keys, *stats = _sums(keys, *np.frombuffer(b"".join(table["more"].to_pylist()), np.int64).reshape(-1, 4).T)
+        _save(folder, f"often-{b}", history=keys, **_split(np.stack(stats, axis=1)))
+        return pa.Table.from_batches([_sent([(-2 * _FAR - 1 - b, b"", b"")])])
 
     def merge_pairs(key, table):
         b = key[0].as_py()
         if b < 0:
-            return table.select(["bucket", "a", "b", "c"])
+            return table.select(["bucket", "data", "more"])
         if b >= _FAR:
             return merge_often(b - _FAR, table)
-        first, second, counts = _joined(table, "a", np.uint64), _joined(table, "b", np.uint64), _joined(table, "c", np.uint32).astype(np.int64)
-        pair = mixed(first, second)
-        keys, at = np.unique(pair, return_index=True)
-        _, counts = _sums(pair, counts)
-        _save(folder, f"pairs-{b}", keys)
-        _save(folder, f"pair-counts-{b}", _compact(counts))
-        first, second = first[at], second[at]
-        before, stats = _by_history(first, counts)
-        often = np.isin(before, hot)
-        _save(folder, f"before-{b}", before[~often])
-        _save(folder, f"before-stats-{b}", _compact(stats[~often]))
-        seen, times = np.unique(second, return_counts=True)
-        out = _blocks(bucket_of(seen, nw), seen, times.astype(np.uint32))
-        total = pa.record_batch([pa.array([-1 - b]), pa.array([before[often].tobytes()]), pa.array([np.column_stack((before[often].astype(np.int64), stats[often])).tobytes()]), pa.array([np.array([len(keys), *_counts_of_counts(counts)], np.int64).tobytes()])], names=["bucket", "a", "b", "c"])
-        return pa.Table.from_batches([out.append_column("c", pa.nulls(out.num_rows, pa.binary())), total])
+        (v, w), counts = _received(table, 2, bits)
+        pair, left, beside = mixed(v, w), np.ones(len(v), bool), {}
+        if os.path.exists(f"{folder}/triples-{b}"):
+            held = _open(folder, f"triples-{b}")
+            for name in ("single", "history"):
+                known = held[name]
+                beside[name] = np.zeros(len(known), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
+                    hit = known[at] == pair
+                    beside[name][at[hit]] = counts[hit]
+                    left &= ~hit
+        rest = np.flatnonzero(left)[np.argsort(pair[left])]
+        before, *stats = _sums(v, counts, *_kinds(counts))
+        stats, often = np.stack(stats, axis=1), _among(before, hot)
+        _save(
+            folder, f"pairs-{b}", pair=pair[rest], count=_compact(counts[rest]), before=_compact(before[~often]), **_split(stats[~often]),
+            **{f"{name}_count": _compact(x) for name, x in beside.items()},
+        )
+        seen, times = np.unique(w, return_counts=True)
+        out = [(to, _pack([seen[r]], times[r]), b"") for to, r in _by_bucket((seen % _U(nw)).astype(np.int64))]
+        total = np.array([len(v), *_counts_of_counts(counts)], np.int64).tobytes()
+        hot_rows = np.column_stack((before[often].astype(np.int64), stats[often])).tobytes()
+        return pa.Table.from_batches([_sent([*out, (-1 - b, total, hot_rows)])])
 
     def merge_seen(key, table):
         b = key[0].as_py()
         if b < 0:
-            return table.select(["bucket", "b", "c"])
-        seen, times = _sums(_joined(table, "a", np.uint64), _joined(table, "b", np.uint32).astype(np.int64))
-        known = np.zeros(len(words := _open(folder, f"words-{b}")), np.int64)
-        known[np.searchsorted(words, seen)] = times
-        _save(folder, f"continuations-{b}", known)
-        return pa.table({"bucket": pa.array([b]), "b": pa.array([b""]), "c": pa.array([np.array([0, *_counts_of_counts(known), int((known >= 3).sum())], np.int64).tobytes()])})
-
-    kind = "bucket long, a binary, b binary, c binary"
+            return table.select(["bucket", "data", "more"])
+        (seen,), times = _received(table, 1, 64)
+        number = _open(folder, f"words-{b}")["number"]
+        known = np.zeros(len(number), np.int64)
+        known[np.argsort(number)[(seen // _U(nw)).astype(np.int64)]] = times
+        _save(folder, f"continuations-{b}", count=_compact(known))
+        sums = np.array([0, *_counts_of_counts(known), int((known >= 3).sum())], np.int64).tobytes()
+        return pa.Table.from_batches([_sent([(b, sums, b"")])])
+
+    counted = data.mapInArrow(count_pairs, _SENT)
     if order == 3:
-        counted = data.mapInArrow(count_triples, kind + ", d binary").groupBy("bucket").applyInArrow(merge_triples, kind)
-    else:
-        counted = data.mapInArrow(count_pairs, kind)
-    blocks = counted.groupBy("bucket").applyInArrow(merge_pairs, kind)
-    parts = blocks.groupBy("bucket").applyInArrow(merge_seen, "bucket long, b binary, c binary").collect()
+        counted = data.mapInArrow(count_triples, _SENT).groupBy("bucket").applyInArrow(merge_triples, _SENT)
+    parts = counted.groupBy("bucket").applyInArrow(merge_pairs, _SENT).groupBy("bucket").applyInArrow(merge_seen, _SENT).collect()
     often_buckets = tuple(sorted(-2 * _FAR - 1 - r.bucket for r in parts if r.bucket < -2 * _FAR))
     triples = [r for r in parts if -2 * _FAR <= r.bucket < -_FAR]
-    triple_sums = np.sum([np.frombuffer(r.c, np.int64) for r in triples] or [np.zeros(5, np.int64)], axis=0)
-    parts = [r for r in parts if r.bucket >= -_FAR]
-    pair_sums = np.sum([np.frombuffer(r.c, np.int64) for r in parts if r.bucket < 0] or [np.zeros(5, np.int64)], axis=0)
-    word_sums = np.sum([np.frombuffer(r.c, np.int64) for r in parts if r.bucket >= 0] or [np.zeros(6, np.int64)], axis=0)
-    rows = np.concatenate([np.frombuffer(r.b, np.int64).reshape(-1, 5) for r in parts if r.bucket < 0] or [np.zeros((0, 5), np.int64)])
+    ends = [r for r in parts if -_FAR <= r.bucket < 0]
+
+    def added(rows, width: int) -> np.ndarray:
+        return np.sum([np.frombuffer(r.data, np.int64) for r in rows] or [np.zeros(width, np.int64)], axis=0)
+
+    triple_sums, pair_sums, word_sums = added(triples, 5), added(ends, 5), added([r for r in parts if r.bucket >= 0], 6)
+    rows = np.concatenate([np.frombuffer(r.more, np.int64).reshape(-1, 5) for r in ends] or [np.zeros((0, 5), np.int64)])
     hot_stats = np.zeros((len(hot), 4), np.int64)
     np.add.at(hot_stats, np.searchsorted(hot, rows[:, 0].astype(np.uint64)), rows[:, 1:])
-    d = discounts(word_sums[1:5].tolist())
-    pairs = int(pair_sums[0])
+    d, pairs = discounts(word_sums[1:5].tolist()), int(pair_sums[0])
     mass = float(np.dot(d, (word_sums[1], word_sums[2], word_sums[5]))) / pairs if pairs else 1.0
     return Model(
-        folder, tokens, words, tuple(sorted(r.bucket for r in found)), nw, tuple(sorted(-1 - r.bucket for r in parts if r.bucket < 0)), np_,
-        hot, hot_stats, pairs, d, mass, discounts(pair_sums[1:].tolist()),
-        order, tuple(sorted(-_FAR - 1 - r.bucket for r in triples)), often_buckets, nt, discounts(triple_sums[1:].tolist()),
+        folder, tokens, words, word_buckets, nw, special, tuple(sorted(-1 - r.bucket for r in ends)), n, hot, hot_stats, pairs, d, mass,
+        discounts(pair_sums[1:].tolist()), order, tuple(sorted(-_FAR - 1 - r.bucket for r in triples)), often_buckets, discounts(triple_sums[1:].tolist()),
     )
 
 
+def _hits(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are known, and where."""
+    if not len(known):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    hit = np.flatnonzero(known[at] == keys)
+    return hit, at[hit]
+
+
+def _stats(held: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
+    return np.stack([held[f"s{i}"][at] for i in range(4)], axis=1)
+
+
+def _places(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each wanted value stands or would stand among values[low:high], which are in order."""
+    low, high = low.copy(), high.copy()
+    while np.any(low < high):
+        middle = (low + high) // 2
+        less = (low < high) & (values[np.minimum(middle, len(values) - 1)] < wanted)
+        high = np.where((low < high) & ~less, middle, high)
+        low = np.where(less, middle + 1, low)
+    return low
+
+
 class Scorer:
     """Log probabilities from the mapped arrays."""
 
     def __init__(self, model: Model):
-        self.m, self.words = model, WordHashes()
-        self.word_buckets, self.pair_buckets = set(model.word_buckets), set(model.pair_buckets)
-        self.triple_buckets, self.often_buckets = set(model.triple_buckets), set(model.often_buckets)
-
-    def _find(self, names: tuple[str, ...], bucket: np.ndarray, keys: np.ndarray, buckets: set[int]) -> list[np.ndarray]:
-        """The values that the bucketed arrays hold for the keys, in their order; zeros for unknown keys."""
-        order = np.lexsort((keys, bucket))
-        bucket, keys = bucket[order], keys[order]
-        out = None
-        edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)] if len(bucket) else [0]
-        for i, j in zip(edges, edges[1:]):
-            b = int(bucket[i])
-            if b not in buckets:
-                continue
-            known = _open(self.m.folder, f"{names[0]}-{b}")
-            if not len(known):
-                continue
-            at = np.searchsorted(known, keys[i:j])
-            at[at == len(known)] = 0
-            hit = known[at] == keys[i:j]
-            values = [_open(self.m.folder, f"{n}-{b}") for n in names[1:]]
-            out = out or [np.zeros((len(keys), *v.shape[1:]), np.int64) for v in values]
-            for o, v in zip(out, values):
-                o[order[i:j][hit]] = v[at[hit]]
-        return out if out is not None else [np.zeros((len(keys), 4) if n.endswith("-stats") else len(keys), np.int64) for n in names[1:]]
-
-    def word_tables(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts and continuation counts."""
-        return self._find(("words", "counts", "continuations"), bucket_of(words, self.m.n_word_buckets), words, self.word_buckets)
-
-    def histories(self, words: np.ndarray) -> np.ndarray:
+        self.m, self.words, self.files = model, WordHashes(), {}
+        self.start, _, self.unknown = model.numbers
+        self.known = {"words": set(model.word_buckets), "pairs": set(model.pair_buckets), "triples": set(model.triple_buckets), "often": set(model.often_buckets)}
+        self.known["continuations"] = self.known["words"]
+
+    def file(self, name: str, b: int) -> dict[str, np.ndarray]:
+        if (name, b) not in self.files:
+            if len(self.files) >= OPEN_FILES:
+                self.files.clear()
+            self.files[name, b] = _open(self.m.folder, f"{name}-{b}")
+        return self.files[name, b]
+
+    def each(self, name: str, bucket: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, dict[str, np.ndarray], np.ndarray]]:
+        """The files that hold the buckets, and the rows of each, by key."""
+        order = np.argsort(keys, kind="stable")
+        for b, rows in _by_bucket(bucket[order]):
+            if b in self.known[name]:
+                yield b, self.file(name, b), order[rows]
+
+    def word_tables(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts, continuation counts and numbers."""
+        counts, continued, numbers = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.full(len(words), self.unknown, np.uint64)
+        for b, held, rows in self.each("words", bucket_of(words, self.m.n_word_buckets), words):
+            hit, at = _hits(held["hash"], words[rows])
+            counts[rows[hit]], numbers[rows[hit]] = held["count"][at], held["number"][at]
+            continued[rows[hit]] = self.file("continuations", b)["count"][at]
+        numbers[words == START] = self.start
+        return counts, continued, numbers
+
+    def before(self, words: np.ndarray) -> np.ndarray:
         """For each word before another: how many tokens follow it, and how many words follow it once, twice, more often."""
-        bucket = pair_bucket(words, words, np.zeros(0, np.uint64), self.m.n_pair_buckets)
-        found = self._find(("before", "before-stats"), bucket, words, self.pair_buckets)[0]
-        at = np.minimum(np.searchsorted(self.m.hot, words), len(self.m.hot) - 1)
-        often = self.m.hot[at] == words
-        found[often] = self.m.hot_stats[at[often]]
+        found = np.zeros((len(words), 4), np.int64)
+        for _, held, rows in self.each("pairs", first_bucket(words, self.m.n_buckets), words):
+            hit, at = _hits(held["before"], words[rows])
+            found[rows[hit]] = _stats(held, at)
+        often = _among(words, self.m.hot)
+        found[often] = self.m.hot_stats[np.searchsorted(self.m.hot, words[often])]
         return found
 
-    def after_two(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Probabilities of w after u and v, from those after v alone."""
-        m = self.m
-        history = mixed(u, v)
-        unique, at, back = np.unique(history, return_index=True, return_inverse=True)
-        a, b = u[at], v[at]
-        stats = self._find(("before3", "before3-stats"), triple_bucket(a, b, b, m.hot, m.n_triple_buckets), unique, self.triple_buckets)[0]
-        often = np.flatnonzero(_among(a, m.hot) & _among(b, m.hot))
-        stats[often] = self._find(("often3", "often3-stats"), bucket_of(mixed(unique[often], np.zeros_like(unique[often])), m.n_triple_buckets), unique[often], self.often_buckets)[0]
-        left = np.where(stats[:, 0] > 0, stats[:, 1:] @ np.array(m.triple_discounts) / np.maximum(stats[:, 0], 1), 1.0)
-        keys, at, place = np.unique(mixed(history, w), return_index=True, return_inverse=True)
-        c = self._find(("triples", "triple-counts"), triple_bucket(u[at], v[at], w[at], m.hot, m.n_triple_buckets), keys, self.triple_buckets)[0][place]
-        return np.maximum(c - discount_of(c, m.triple_discounts), 0) / np.maximum(stats[:, 0], 1)[back] + left[back] * p
+    def pair_counts(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        keys, found = mixed(v, w), np.zeros(len(v), np.int64)
+        for b, held, rows in self.each("pairs", pair_bucket(v, w, self.m.hot, self.m.n_buckets), keys):
+            places = [(held["pair"], held["count"])]
+            if "single_count" in held:
+                triples = self.file("triples", b)
+                places += [(triples[name], held[f"{name}_count"]) for name in ("single", "history")]
+            for known, counts in places:
+                hit, at = _hits(known, keys[rows])
+                found[rows[hit]] = counts[at]
+        return found
+
+    def triple_counts(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        keys, found = mixed(u, v), np.zeros(len(u), np.int64)
+        for _, held, rows in self.each("triples", triple_bucket(u, v, w, self.m.hot, self.m.n_buckets), keys):
+            hit, at = _hits(held["single"], keys[rows])
+            found[rows[hit]] = held["single_next"][at] == w[rows[hit]]
+            hit, at = _hits(held["history"], keys[rows])
+            wanted, high = w[rows[hit]], held["start"][at + 1].astype(np.int64)
+            place = _places(held["next"], held["start"][at].astype(np.int64), high, wanted)
+            there = np.flatnonzero(place < high)
+            there = there[held["next"][place[there]] == wanted[there]]
+            found[rows[hit[there]]] = held["count"][place[there]]
+        return found
+
+    def histories(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """As :meth:`before`, of two words."""
+        keys, found = mixed(u, v), np.zeros((len(u), 4), np.int64)
+        both = _among(u, self.m.hot) & _among(v, self.m.hot)
+        apart = np.where(both, -1, pair_bucket(u, v, self.m.hot, self.m.n_buckets))
+        for _, held, rows in self.each("triples", apart, keys):
+            hit, at = _hits(held["single"], keys[rows])
+            found[rows[hit]] = (1, 1, 0, 0)
+            hit, at = _hits(held["history"], keys[rows])
+            found[rows[hit]] = _stats(held, at)
+        for _, held, rows in self.each("often", np.where(both, bucket_of(keys, self.m.n_buckets), -1), keys):
+            hit, at = _hits(held["history"], keys[rows])
+            found[rows[hit]] = _stats(held, at)
+        return found
+
+    @staticmethod
+    def _step(counts: np.ndarray, stats: np.ndarray, d: tuple[float, float, float], lower: np.ndarray) -> np.ndarray:
+        """Probabilities from the discounted counts after a history, and what the discounts leave to the lower order."""
+        total = np.maximum(stats[:, 0], 1)
+        left = np.where(stats[:, 0] > 0, stats[:, 1:] @ np.array(d) / total, 1.0)
+        return np.maximum(counts - discount_of(counts, d), 0) / total + left * lower
 
     def score(self, texts: list[bytes]) -> dict[str, np.ndarray]:
         m = self.m
         rows = [np.array([START, *map(self.words.__getitem__, t.lower().split()), END], np.uint64) for t in texts]
         sizes = np.array([len(r) - 1 for r in rows])
-        flat = np.concatenate(rows)
-        inside = np.ones(len(flat), bool)
+        unique, place = np.unique(np.concatenate(rows), return_inverse=True)
+        counts, continued, numbers = self.word_tables(unique)
+        inside = np.ones(len(place), bool)
         inside[np.cumsum(sizes + 1) - sizes - 1] = False
-        second, first = flat[inside], flat[np.flatnonzero(inside) - 1]
-        unique, place = np.unique(second, return_inverse=True)
-        counts, continued = self.word_tables(unique)
+        inside = np.flatnonzero(inside)
         base = np.log10((counts + 1) / (m.tokens + m.words + 1))
         alone = m.unseen_mass / (m.words + 1)
         if m.pairs:
             alone = alone + np.maximum(continued - discount_of(continued, m.word_discounts), 0) / m.pairs
-        alone = np.broadcast_to(alone, unique.shape)[place]
-        histories, back = np.unique(first, return_inverse=True)
-        stats = self.histories(histories)
-        total = np.maximum(stats[:, 0], 1)
-        left = np.where(stats[:, 0] > 0, stats[:, 1:] @ np.array(m.pair_discounts) / total, 1.0)
-        _, at, pair_place = np.unique(mixed(first, second), return_index=True, return_inverse=True)
-        a, b = first[at], second[at]
-        c = self._find(("pairs", "pair-counts"), pair_bucket(a, b, m.hot, m.n_pair_buckets), mixed(a, b), self.pair_buckets)[0][pair_place]
-        p = np.maximum(c - discount_of(c, m.pair_discounts), 0) / total[back] + left[back] * alone
+        p = np.broadcast_to(alone, unique.shape)[place[inside]]
+        flat = numbers[place]
+        v, w = flat[inside - 1], flat[inside]
+        key, at, back = np.unique(v, return_index=True, return_inverse=True)
+        stats = self.before(key)[back]
+        _, at, back = np.unique(mixed(v, w), return_index=True, return_inverse=True)
+        p = self._step(self.pair_counts(v[at], w[at])[back], stats, m.pair_discounts, p)
         if m.order == 3:
-            later = np.flatnonzero(first != START)
-            p[later] = self.after_two(flat[np.flatnonzero(inside)[later] - 2], first[later], second[later], p[later])
+            later = np.flatnonzero(v != self.start)
+            u, v, w = flat[inside[later] - 2], v[later], w[later]
+            _, at, back = np.unique(mixed(u, v), return_index=True, return_inverse=True)
+            stats = self.histories(u[at], v[at])[back]
+            _, at, back = np.unique(mixed(mixed(u, v), w), return_index=True, return_inverse=True)
+            p[later] = self._step(self.triple_counts(u[at], v[at], w[at])[back], stats, m.triple_discounts, p[later])
         starts = np.cumsum(sizes) - sizes
         add = lambda x: np.add.reduceat(x, starts)
-        return {"n_tokens": sizes, "n_known": add((counts > 0)[place].astype(np.int64)), "base_score": add(base[place]), "score": add(np.log10(p))}
+        return {"n_tokens": sizes, "n_known": add((counts > 0)[place[inside]].astype(np.int64)), "base_score": add(base[place[inside]]), "score": add(np.log10(p))}
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -158,7 +158,7 @@ def _in_order(columns: list[np.ndarray], counts: np.ndarray, bits: int) -> tuple
         key = columns[0]
         for c in columns[1:]:
             key = (key << _U(bits)) | c
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         changed = key[order][1:] != key[order][:-1]
     else:
         order = np.lexsort(columns[::-1])
@@ -169,7 +169,7 @@ def _in_order(columns: list[np.ndarray], counts: np.ndarray, bits: int) -> tuple
 
 def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """The distinct keys in order, and the sums of the values of each."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return keys[first], *[np.add.reduceat(v[order], first) if len(first) else v[:0] for v in values]
@@ -191,9 +191,19 @@ def _token_arrays(batches: Iterator[pa.RecordBatch], starts: bool) -> Iterator[n
         yield np.concatenate(held)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct key, in order of the keys, and which of these each key is."""
+    order = np.argsort(keys)
+    fresh = np.concatenate(([True], keys[order[1:]] != keys[order[:-1]]))[: len(keys)]
+    back = np.empty(len(keys), np.int64)
+    back[order] = np.cumsum(fresh) - 1
+    return order[fresh], back
+
+
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """The rows of each bucket, in their order."""
-    order = np.argsort(bucket, kind="stable")
+    """The rows of each bucket, in their order; narrow numbers sort faster."""
+    least = int(bucket.min(initial=0))
+    order = np.argsort((bucket - least).astype(np.min_scalar_type(int(bucket.max(initial=0)) - least)), kind="stable")
     kept = bucket[order]
     edges = [0, *(np.flatnonzero(kept[1:] != kept[:-1]) + 1).tolist(), len(kept)] if len(kept) else [0]
     for i, j in zip(edges, edges[1:]):
@@ -472,11 +482,25 @@ def _places(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.nd
     return low
 
 
+@dataclass
+class Pairs:
+    """Per pair: its count; as a history the statistics of what follows, whether both words are very frequent, the bucket, the one word that follows
+    once or, of several, where they stand."""
+
+    counts: np.ndarray
+    stats: np.ndarray
+    both: np.ndarray
+    bucket: np.ndarray
+    only: np.ndarray
+    single: np.ndarray
+    span: np.ndarray
+
+
 class Scorer:
     """Log probabilities from the mapped arrays."""
 
     def __init__(self, model: Model):
-        self.m, self.words, self.files = model, WordHashes(), {}
+        self.m, self.words, self.files = model, WordHashes(300_000), {}
         self.start, _, self.unknown = model.numbers
         self.known = {"words": set(model.word_buckets), "pairs": set(model.pair_buckets), "triples": set(model.triple_buckets), "often": set(model.often_buckets)}
         self.known["continuations"] = self.known["words"]
@@ -488,17 +512,16 @@ class Scorer:
             self.files[name, b] = _open(self.m.folder, f"{name}-{b}")
         return self.files[name, b]
 
-    def each(self, name: str, bucket: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, dict[str, np.ndarray], np.ndarray]]:
-        """The files that hold the buckets, and the rows of each, by key."""
-        order = np.argsort(keys, kind="stable")
-        for b, rows in _by_bucket(bucket[order]):
+    def each(self, name: str, bucket: np.ndarray) -> Iterator[tuple[int, dict[str, np.ndarray], np.ndarray]]:
+        """The files that hold the buckets, and the rows of each; keys come in order, so that the files are read in order."""
+        for b, rows in _by_bucket(bucket):
             if b in self.known[name]:
-                yield b, self.file(name, b), order[rows]
+                yield b, self.file(name, b), rows
 
     def word_tables(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Counts, continuation counts and numbers."""
         counts, continued, numbers = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), np.full(len(words), self.unknown, np.uint64)
-        for b, held, rows in self.each("words", bucket_of(words, self.m.n_word_buckets), words):
+        for b, held, rows in self.each("words", bucket_of(words, self.m.n_word_buckets)):
             hit, at = _hits(held["hash"], words[rows])
             counts[rows[hit]], numbers[rows[hit]] = held["count"][at], held["number"][at]
             continued[rows[hit]] = self.file("continuations", b)["count"][at]
@@ -508,52 +531,60 @@ class Scorer:
     def before(self, words: np.ndarray) -> np.ndarray:
         """For each word before another: how many tokens follow it, and how many words follow it once, twice, more often."""
         found = np.zeros((len(words), 4), np.int64)
-        for _, held, rows in self.each("pairs", first_bucket(words, self.m.n_buckets), words):
+        for _, held, rows in self.each("pairs", first_bucket(words, self.m.n_buckets)):
             hit, at = _hits(held["before"], words[rows])
             found[rows[hit]] = _stats(held, at)
         often = _among(words, self.m.hot)
         found[often] = self.m.hot_stats[np.searchsorted(self.m.hot, words[often])]
         return found
 
-    def pair_counts(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        keys, found = mixed(v, w), np.zeros(len(v), np.int64)
-        for b, held, rows in self.each("pairs", pair_bucket(v, w, self.m.hot, self.m.n_buckets), keys):
-            places = [(held["pair"], held["count"])]
-            if "single_count" in held:
-                triples = self.file("triples", b)
-                places += [(triples[name], held[f"{name}_count"]) for name in ("single", "history")]
-            for known, counts in places:
-                hit, at = _hits(known, keys[rows])
-                found[rows[hit]] = counts[at]
+    def pairs(self, v: np.ndarray, w: np.ndarray, keys: np.ndarray) -> Pairs:
+        """What is known of pairs and, as histories, of the words after them, by one look-up."""
+        m = self.m
+        bucket = pair_bucket(v, w, m.hot, m.n_buckets)
+        both = _among(v, m.hot) & _among(w, m.hot)
+        found = Pairs(np.zeros(len(v), np.int64), np.zeros((len(v), 4), np.int64), both, bucket, np.zeros(len(v), np.uint64), np.zeros(len(v), bool), np.zeros((2, len(v)), np.int64))
+        for b, held, rows in self.each("pairs", bucket):
+            hit, at = _hits(held["pair"], keys[rows])
+            found.counts[rows[hit]] = held["count"][at]
+            if "single_count" not in held:
+                continue
+            triples = self.file("triples", b)
+            hit, at = _hits(triples["single"], keys[rows])
+            there = rows[hit]
+            found.counts[there], found.stats[there], found.only[there], found.single[there] = held["single_count"][at], (1, 1, 0, 0), triples["single_next"][at], True
+            hit, at = _hits(triples["history"], keys[rows])
+            there = rows[hit]
+            found.counts[there], found.stats[there], found.span[:, there] = held["history_count"][at], _stats(triples, at), (triples["start"][at], triples["start"][at + 1])
+        # What follows two frequent words is dealt over buckets, its statistics are summed up in a place of their own.
+        found.stats[both], found.single[both], found.span[:, both] = 0, False, 0
+        for _, held, rows in self.each("often", np.where(both, bucket_of(keys, m.n_buckets), -1)):
+            hit, at = _hits(held["history"], keys[rows])
+            found.stats[rows[hit]] = _stats(held, at)
         return found
 
-    def triple_counts(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        keys, found = mixed(u, v), np.zeros(len(u), np.int64)
-        for _, held, rows in self.each("triples", triple_bucket(u, v, w, self.m.hot, self.m.n_buckets), keys):
-            hit, at = _hits(held["single"], keys[rows])
+    def triple_counts(self, pairs: Pairs, history: np.ndarray, keys: np.ndarray, w: np.ndarray, v: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """Of the words w after the pairs numbered ``history``, in order of these; ``keys``, u and v are those of the pairs."""
+        m = self.m
+        found = (pairs.single[history] & (pairs.only[history] == w)).astype(np.int64)
+        low, high = pairs.span[:, history]
+        for _, held, rows in self.each("triples", np.where(low < high, pairs.bucket[history], -1)):
+            self._follow(found, held, rows, low[rows], high[rows], w)
+        both = np.flatnonzero(pairs.both[history])
+        for _, held, rows in self.each("triples", triple_bucket(u[history[both]], v[history[both]], w[both], m.hot, m.n_buckets)):
+            rows = both[rows]
+            hit, at = _hits(held["single"], keys[history[rows]])
             found[rows[hit]] = held["single_next"][at] == w[rows[hit]]
-            hit, at = _hits(held["history"], keys[rows])
-            wanted, high = w[rows[hit]], held["start"][at + 1].astype(np.int64)
-            place = _places(held["next"], held["start"][at].astype(np.int64), high, wanted)
-            there = np.flatnonzero(place < high)
-            there = there[held["next"][place[there]] == wanted[there]]
-            found[rows[hit[there]]] = held["count"][place[there]]
+            hit, at = _hits(held["history"], keys[history[rows]])
+            self._follow(found, held, rows[hit], held["start"][at].astype(np.int64), held["start"][at + 1].astype(np.int64), w)
         return found
 
-    def histories(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """As :meth:`before`, of two words."""
-        keys, found = mixed(u, v), np.zeros((len(u), 4), np.int64)
-        both = _among(u, self.m.hot) & _among(v, self.m.hot)
-        apart = np.where(both, -1, pair_bucket(u, v, self.m.hot, self.m.n_buckets))
-        for _, held, rows in self.each("triples", apart, keys):
-            hit, at = _hits(held["single"], keys[rows])
-            found[rows[hit]] = (1, 1, 0, 0)
-            hit, at = _hits(held["history"], keys[rows])
-            found[rows[hit]] = _stats(held, at)
-        for _, held, rows in self.each("often", np.where(both, bucket_of(keys, self.m.n_buckets), -1), keys):
-            hit, at = _hits(held["history"], keys[rows])
-            found[rows[hit]] = _stats(held, at)
-        return found
+    @staticmethod
+    def _follow(found: np.ndarray, held: dict[str, np.ndarray], rows: np.ndarray, low: np.ndarray, high: np.ndarray, w: np.ndarray) -> None:
+        place = _places(held["next"], low, high, w[rows])
+        there = np.flatnonzero(place < high)
+        there = there[held["next"][place[there]] == w[rows[there]]]
+        found[rows[there]] = held["count"][place[there]]
 
     @staticmethod
     def _step(counts: np.ndarray, stats: np.ndarray, d: tuple[float, float, float], lower: np.ndarray) -> np.ndarray:
@@ -566,7 +597,9 @@ class Scorer:
         m = self.m
         rows = [np.array([START, *map(self.words.__getitem__, t.lower().split()), END], np.uint64) for t in texts]
         sizes = np.array([len(r) - 1 for r in rows])
-        unique, place = np.unique(np.concatenate(rows), return_inverse=True)
+        hashes = np.concatenate(rows)
+        at, place = _distinct(hashes)
+        unique = hashes[at]
         counts, continued, numbers = self.word_tables(unique)
         inside = np.ones(len(place), bool)
         inside[np.cumsum(sizes + 1) - sizes - 1] = False
@@ -578,17 +611,20 @@ class Scorer:
         p = np.broadcast_to(alone, unique.shape)[place[inside]]
         flat = numbers[place]
         v, w = flat[inside - 1], flat[inside]
-        key, at, back = np.unique(v, return_index=True, return_inverse=True)
-        stats = self.before(key)[back]
-        _, at, back = np.unique(mixed(v, w), return_index=True, return_inverse=True)
-        p = self._step(self.pair_counts(v[at], w[at])[back], stats, m.pair_discounts, p)
+        at, back = _distinct(v)
+        stats = self.before(v[at])[back]
+        keys = mixed(v, w)
+        at, of = _distinct(keys)
+        first, second, keys = v[at], w[at], keys[at]
+        pairs = self.pairs(first, second, keys)
+        p = self._step(pairs.counts[of], stats, m.pair_discounts, p)
         if m.order == 3:
             later = np.flatnonzero(v != self.start)
-            u, v, w = flat[inside[later] - 2], v[later], w[later]
-            _, at, back = np.unique(mixed(u, v), return_index=True, return_inverse=True)
-            stats = self.histories(u[at], v[at])[back]
-            _, at, back = np.unique(mixed(mixed(u, v), w), return_index=True, return_inverse=True)
-            p[later] = self._step(self.triple_counts(u[at], v[at], w[at])[back], stats, m.triple_discounts, p[later])
+            history, w = of[later - 1], w[later]
+            # In order of the histories, so that files are read in order.
+            at, back = _distinct((history.astype(np.uint64) << _U(40)) ^ w)
+            c = self.triple_counts(pairs, history[at], keys, w[at], second, first)[back]
+            p[later] = self._step(c, pairs.stats[history], m.triple_discounts, p[later])
         starts = np.cumsum(sizes) - sizes
         add = lambda x: np.add.reduceat(x, starts)
         return {"n_tokens": sizes, "n_known": add((counts > 0)[place[inside]].astype(np.int64)), "base_score": add(base[place[inside]]), "score": add(np.log10(p))}

@@ -177,7 +177,7 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _token_arrays(batches: Iterator[pa.RecordBatch], starts: bool) -> Iterator[np.ndarray]:
     """Word hashes of whole texts, each with its end, and with its start if ``starts``; about FLUSH tokens at a time."""
-    words, held, n = WordHashes(), [], 0
+    words, held, n = WordHashes(300_000), [], 0
     head = [START] if starts else []
     for batch in pieces(batches, "text"):
         for text in batch.column("text").to_pylist():

@@ -241,14 +241,14 @@ def test_equals_sql(spark, con, small, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name, columns", [
     ("op1_lm_score", "doc_id held_out n_tokens n_known train_tokens base_score score perplexity"), ("op5_byte_bpe", "doc_id n_tokens ids_sha256 decoded_sha256"),
     ("op7_toxicity", "doc_id held_out score predicted"), ("op9_token_count", "doc_id n_bytes n_tokens over_limit"),
-    ("op4_secret_scan", "doc_id n_assign n_access n_hex base_sha256 spans"),
+    ("op4_secret_scan", "doc_id n_assign n_access n_hex base_sha256 spans"), ("op12_license_scan", "doc_id n_words n_base first_word last_word base_labels labels score"),
 ])
 def test_one_row_per_document(spark, small, name, columns):
     got = QUERIES[name](spark, small).toPandas()

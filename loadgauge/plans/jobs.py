@@ -172,9 +172,11 @@ def recommend(
     settings: Settings = Settings(),
     **policy,
 ) -> tuple[DataFrame, dict]:
-    """Replica plan for a model's stored forecasts, and the policy it was made with."""
+    """Replica plan for a model's stored forecasts, and the policy it was made with; without forecasts it is an error."""
     used = settings.policy.override(**policy)
     points = stage(CP.forecast_points(predictions(spark, root), interval, model, horizon), "points")
+    if points.isEmpty():
+        raise LookupError(f"no stored forecasts of {model!r} at {interval!r}")
     return CP.scaling_recommendation(points, [], used).drop("policy"), used.__dict__
 
 
@@ -183,11 +185,16 @@ def simulate(
 ) -> DataFrame:
     """Replay reactive and forecast-based scaling over a model's forecasts; returns the savings report.
 
-    Buckets in which any model has no forecast are left out, as for the leaderboard.
+    Buckets in which any model has no forecast, or no row at all, are left out, as for the leaderboard.  A model without stored
+    forecasts at the interval is an error.
     """
     rows = predictions(spark, root).filter(F.col("interval") == interval)
-    complete = rows.groupBy("ds").agg(F.count_if(F.col("y").isNull() | F.col("yhat").isNull()).alias("_missing"))
-    kept = rows.filter(F.col("model") == model_kind(model)).join(complete.filter("_missing = 0"), "ds", "left_semi")
+    models = {r.model for r in rows.select("model").distinct().collect()}
+    if model_kind(model) not in models:
+        raise LookupError(f"no stored forecasts of {model!r} at {interval!r}")
+    known = F.when(F.col("y").isNotNull() & F.col("yhat").isNotNull(), F.col("model"))
+    complete = rows.groupBy("ds").agg(F.count_distinct(known).alias("_models")).filter(F.col("_models") == len(models))
+    kept = rows.filter(F.col("model") == model_kind(model)).join(complete, "ds", "left_semi")
     table = stage(kept.select("ds", "y", "yhat"), "replay")
     backtest = CP.strategy_backtest(table, [], settings.policy).select(*CP.BACKTEST)
     TB.write_table(backtest, f"{root}/backtest/{interval}")

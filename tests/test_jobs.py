@@ -1,6 +1,7 @@
 """All jobs in a row, from text logs to the savings report."""
 
 import json
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,9 @@ from loadgauge.config import Settings
 from loadgauge.operators import buckets as B
 from loadgauge.plans import jobs
 from loadgauge.session import new_path
-from loadgauge.sources import adapters as A
+from loadgauge.sources import adapters as A, tables as TB
+
+T0 = datetime(2024, 1, 1)
 
 SETTINGS = Settings.from_dict(
     json.loads(
@@ -88,3 +91,20 @@ def test_settings_are_checked():
         Settings.from_dict({"nonsense": {}})
     with pytest.raises(TypeError):
         Settings.from_dict({"policy": {"nonsense": 1}})
+
+
+def test_requests_for_what_is_not_stored_are_errors(spark, tmp_path):
+    rows = [(m, T0 + timedelta(minutes=15 * i), 4000.0, 5000.0) for m in ("naive", "boosted_tree") for i in range(4)]
+    made = spark.createDataFrame(rows, "model string, ds timestamp_ntz, y double, yhat double")
+    whole = made.filter((F.col("model") == "naive") | (F.minute("ds") != 30)).select("ds", "y", "model", "yhat")
+    root = str(tmp_path)
+    TB.write_table(whole.select(*TB.PREDICTIONS.names), f"{root}/predictions/predictions_15min")
+    for ask in (lambda m, i: jobs.recommend(spark, root, i, m), lambda m, i: jobs.simulate(spark, root, i, m)):
+        for model, interval in (("prophet", "15min"), ("naive", "5min")):
+            with pytest.raises(LookupError, match="no stored forecasts"):
+                ask(model, interval)
+    plan, _ = jobs.recommend(spark, root, "15min", "naive")
+    assert plan.count() == 4
+    # One bucket has no row of the other model.
+    jobs.simulate(spark, root, "15min", "naive")
+    assert spark.read.parquet(f"{root}/backtest/15min").select("ds").distinct().count() == 3

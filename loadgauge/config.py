@@ -42,11 +42,16 @@ def model_kind(name: str) -> str:
 
 @dataclass(frozen=True)
 class LoadConfig:
-    """Bucketing and cleaning.  ``outages`` holds inclusive (start, end) wall-clock strings."""
+    """Bucketing and cleaning.  ``outages`` holds inclusive (start, end) wall-clock strings.
+
+    Days without any request are filled with empty buckets if no more than ``max_gap_days`` lie between two days with requests: one
+    absurd date must not fill thousands of years.
+    """
 
     resource_weight: float = 1.2
     bot_error_threshold: float = 0.8
     outages: tuple[tuple[str, str], ...] = (("1995-07-28 13:25:00", "1995-08-03 05:25:00"),)
+    max_gap_days: int = 3660
 
 
 @dataclass(frozen=True)

@@ -21,5 +21,6 @@ def left_edge(minute: Column, minutes: int | Column) -> Column:
 
 def to_timestamp(minute: Column) -> Column:
     """Inverse of :func:`minute_index`."""
-    zero = F.lit(0)
-    return F.expr(EPOCH) + F.make_dt_interval(zero, zero, minute.cast("int"))
+    within = F.pmod(minute, F.lit(1440).cast("long"))
+    days = F.expr(EPOCH) + F.make_dt_interval(((minute - within) / 1440).cast("int"))
+    return days + F.make_dt_interval(F.lit(0), F.lit(0), within.cast("int"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import LoadConfig, interval_minutes
 from ..functions import load as L
 from ..functions.timegrid import left_edge, minute_index, to_timestamp
+from .blocks import DAY
 
 COUNTS = ["y", "total_bytes", "error_4xx", "error_5xx"]
 CHUNK = 1440
@@ -36,6 +37,34 @@ def request_counts(log: DataFrame, keys: Sequence[str], minutes: int) -> DataFra
     return counts.filter(F.greatest(*COUNTS) >= 0)
 
 
+def spans(edges: DataFrame, keys: Sequence[str], max_gap_days: int) -> DataFrame:
+    """(series, _lo, _hi): the stretches of ``_edge`` values whose grid is filled, one per series unless days are far apart.
+
+    A stretch ends with a day that is followed by more than ``max_gap_days`` days without rows, and another one begins with the next
+    day that has rows.  Made of each series' distinct days in one aggregate: a few thousand numbers for decades.
+    """
+    lo, hi, days = F.col("_lo"), F.col("_hi"), F.col("_days")
+    found = edges.groupBy(*keys).agg(
+        F.min("_edge").alias("_lo"), F.max("_edge").alias("_hi"), F.array_sort(F.collect_set(left_edge(F.col("_edge"), DAY))).alias("_days")
+    )
+    pairs = F.greatest(F.size(days) - 1, F.lit(0))
+    steps = F.zip_with(F.slice(days, F.lit(1), pairs), F.slice(days, F.lit(2), pairs), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    far = F.filter(steps, lambda s: s["b"] - s["a"] > F.lit((max_gap_days + 1) * DAY))
+    begins = F.concat(F.array(lo), F.transform(far, lambda s: s["b"]))
+    ends = F.concat(F.transform(far, lambda s: s["a"] + F.lit(DAY - 1)), F.array(hi))
+    # An ungrouped min/max over no rows is one row of NULLs.
+    stretches = found.filter(lo.isNotNull()).select(*keys, F.explode(F.arrays_zip(begins.alias("b"), ends.alias("e"))).alias("_s"))
+    return stretches.select(*keys, F.col("_s.b").alias("_lo"), F.col("_s.e").alias("_hi"))
+
+
+def long_gaps(edges: DataFrame, keys: Sequence[str], cfg: LoadConfig = LoadConfig()) -> DataFrame:
+    """(series, stretches): how many stretches a series' grid has, for the series that have more than one.
+
+    ``edges`` has the minute of each row as ``_edge``, as :func:`request_counts` gives it.
+    """
+    return spans(edges, keys, cfg.max_gap_days).groupBy(*keys).agg(F.count(F.lit(1)).alias("stretches")).filter("stretches > 1")
+
+
 def spine(bounds: DataFrame, keys: Sequence[str], minutes: Column) -> DataFrame:
     """Every bucket edge from ``_lo`` to ``_hi``, in two steps so that no row holds a long array."""
     width = minutes.cast("long")
@@ -69,7 +98,10 @@ def measures(counts: DataFrame, keys: Sequence[str], cfg: LoadConfig) -> DataFra
 def load_by_interval(
     log: DataFrame, interval: str, keys: Sequence[str] = (), cfg: LoadConfig = LoadConfig()
 ) -> DataFrame:
-    """Load per bucket; every bucket between a series' first and last request appears, empty ones as 0."""
+    """Load per bucket; every bucket between a series' first and last request appears, empty ones as 0.
+
+    But for gaps of more than ``cfg.max_gap_days`` days, which stay open (:func:`spans`).
+    """
     return load_all_intervals(log, [interval], keys, cfg).drop("interval")
 
 
@@ -94,10 +126,9 @@ def load_all_intervals(
         return df.withColumn("_i", F.explode(options)).select("*", "_i.interval", "_i.width").drop("_i")
 
     filled = spread(base).withColumn("_edge", left_edge(F.col("_edge"), width))
-    bounds = spread(base.groupBy(*keys).agg(F.min("_edge").alias("_lo"), F.max("_edge").alias("_hi")))
+    bounds = spread(spans(base, keys, cfg.max_gap_days))
     bounds = bounds.withColumns({"_lo": left_edge(F.col("_lo"), width), "_hi": left_edge(F.col("_hi"), width)})
-    # An ungrouped min/max over no rows is one row of NULLs.
-    empty = spine(bounds.filter(F.col("_lo").isNotNull()), keys, width)
+    empty = spine(bounds, keys, width)
     zeros = empty.withColumns({c: F.lit(0).cast("long") for c in COUNTS})
     group = [*keys, "interval"]
     counts = (
@@ -140,17 +171,16 @@ def cleaning_counts(load: DataFrame, keys: Sequence[str] = (), cfg: LoadConfig =
 
 
 def spine_join(
-    table: DataFrame, interval: str, keys: Sequence[str] = (), columns: Sequence[str] = ("intensity",)
+    table: DataFrame, interval: str, keys: Sequence[str] = (), columns: Sequence[str] = ("intensity",), max_gap_days: int = LoadConfig.max_gap_days
 ) -> DataFrame:
-    """Put a series back on its full grid; buckets that were removed come back as NULL.
+    """Put a series back on its full grid, without gaps longer than ``max_gap_days``; buckets that were removed come back as NULL.
 
     ``table`` is read twice (its time span, its rows), so pass a stored table.
     """
     keys = list(keys)
     minutes = interval_minutes(interval)
     rows = table.select(*keys, minute_index(F.col("ds")).alias("_edge"), *columns)
-    bounds = rows.groupBy(*keys).agg(F.min("_edge").alias("_lo"), F.max("_edge").alias("_hi"))
-    grid = spine(bounds.filter(F.col("_lo").isNotNull()), keys, F.lit(minutes))
+    grid = spine(spans(rows, keys, max_gap_days), keys, F.lit(minutes))
     right = rows.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("_edge").alias("_r_edge"), *columns)
     condition = F.col("_edge") == F.col("_r_edge")
     for k in keys:

@@ -7,6 +7,7 @@ per ``site``.  Doubles are rounded so that results can be compared between engin
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -333,6 +334,13 @@ def status_class_counts(spark, d):
     )
 
 
+@query
+def load_long_gaps(spark, d):
+    """Hourly load per host; after more than one day without requests of a host the grid starts anew."""
+    cfg = replace(CFG, max_gap_days=1)
+    return B.load_by_interval(A.events_log(spark, d), "60min", ["host"], cfg).select("host", "ds", "y", "total_bytes")
+
+
 @query
 def load_all_intervals(spark, d):
     tables = B.load_all_intervals(A.events_log(spark, d), ["1min", "5min", "15min"], [], CFG)

@@ -176,6 +176,20 @@ SQL["load_by_interval"] = select(
     X.LINES, X.PARSED_LOG, X.load(15, keyed=False), body=f"SELECT ds, {X.LOAD_OUT} FROM load"
 )
 SQL["load_by_interval_keyed"] = select(*LOADED, body=f"SELECT site, ds, {X.LOAD_OUT} FROM load")
+SQL["load_long_gaps"] = select(
+    LOG,
+    """cnt AS (
+  SELECT host, time_bucket(INTERVAL '60 minutes', "timestamp") AS ds, count(*) AS y, CAST(sum(bytes) AS BIGINT) AS total_bytes FROM log GROUP BY ALL)""",
+    "days AS (SELECT DISTINCT host, date_trunc('day', ds) AS day FROM cnt)",
+    """runs AS (
+  SELECT *, sum(jump) OVER (PARTITION BY host ORDER BY day) AS run
+  FROM (SELECT *, CAST(coalesce(date_diff('day', lag(day) OVER (PARTITION BY host ORDER BY day), day) > 2, FALSE) AS INTEGER) AS jump FROM days))""",
+    "ends AS (SELECT host, min(ds) AS lo, max(ds) AS hi FROM cnt GROUP BY host)",
+    """grid AS (
+  SELECT host, unnest(generate_series(greatest(lo, CAST(a AS TIMESTAMP)), least(hi, CAST(b AS TIMESTAMP) + INTERVAL 23 HOUR), INTERVAL 1 HOUR)) AS ds
+  FROM (SELECT host, run, min(day) AS a, max(day) AS b FROM runs GROUP BY host, run) JOIN ends USING (host))""",
+    body="SELECT host, ds, coalesce(y, 0) AS y, coalesce(total_bytes, 0) AS total_bytes FROM grid LEFT JOIN cnt USING (host, ds)",
+)
 SQL["status_class_counts"] = select(
     LOG,
     body="""SELECT site, count(*) FILTER (status BETWEEN 400 AND 499) AS error_4xx, count(*) FILTER (status >= 500) AS error_5xx

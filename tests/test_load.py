@@ -106,7 +106,35 @@ def test_long_spines_are_cut_into_short_arrays(spark):
     assert row.n == row.d == 1440 * 400 + 1 and row.top == 1440 * 400 * 5
 
 
-@pytest.mark.parametrize("text", ["1969-12-31 23:59:59", "1970-01-01 00:00:00", "2024-02-29 12:34:56"])
+def test_an_absurd_date_does_not_fill_the_time_in_between(spark):
+    far = datetime(9999, 12, 31, 23, 59)
+    rows = [(0, T0, 200, 1), (0, T0 + timedelta(days=3), 200, 2), (0, far, 200, 4), (1, T0, 200, 8)]
+    for interval, width in (("15min", 15), ("1min", 1)):
+        got = B.load_by_interval(log(spark, rows), interval, ["site"]).filter("site = 0").orderBy("ds").collect()
+        day = 1440 // width
+        # From the first request to the end of the last day before the gap, and the whole of the far day.
+        assert len(got) == 4 * day - T0.hour * 60 // width + day
+        assert [(r.ds, r.y, r.total_bytes) for r in got if r.y] == [
+            (T0, 1, 1), (T0 + timedelta(days=3), 1, 2), (far - timedelta(minutes=far.minute % width), 1, 4)
+        ]
+        assert sum(r.y for r in got) == 3
+    edges = B.request_counts(log(spark, rows), ["site"], 1)
+    assert [tuple(r) for r in B.long_gaps(edges, ["site"]).collect()] == [(0, 2)]
+
+
+def test_a_gap_as_long_as_allowed_is_filled(spark):
+    rows = [(0, T0, 200, 1), (0, T0 + timedelta(days=3), 200, 1)]
+    filled, cut = (B.load_by_interval(log(spark, rows), "15min", [], LoadConfig(max_gap_days=n)) for n in (2, 1))
+    assert (filled.count(), cut.count()) == (3 * 96 + 1, (96 - 52) + 53)
+
+
+def test_spine_join_leaves_long_gaps_open(spark):
+    table = spark.createDataFrame([(T0, 1.0), (datetime(9999, 1, 1), 2.0)], "ds timestamp_ntz, intensity double")
+    got = B.spine_join(table, "15min")
+    assert got.count() == (96 - 52) + 1 and got.agg(F.sum("intensity")).first()[0] == 3.0
+
+
+@pytest.mark.parametrize("text", ["1969-12-31 23:59:59", "1970-01-01 00:00:00", "2024-02-29 12:34:56", "9999-12-31 23:59:59"])
 def test_minute_index_round_trip(spark, text):
     ts = F.lit(text).cast("timestamp_ntz")
     row = spark.range(1).select(

@@ -28,7 +28,7 @@ def main() -> None:
     settings = Settings.from_dict(values)
     spark = SparkSession.builder.appName("loadgauge").getOrCreate()
     for part, path in ((jobs.TRAIN, given.train), (jobs.TEST, given.test)):
-        print(part, jobs.parse(spark, path, given.root, part), jobs.aggregate(spark, given.root, part, settings))
+        print(part, jobs.parse(spark, path, given.root, part, settings), jobs.aggregate(spark, given.root, part, settings))
     jobs.report(spark, given.root)
     jobs.build_features(spark, given.root, settings)
     jobs.train(spark, given.root, settings)

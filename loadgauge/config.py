@@ -124,6 +124,7 @@ class Settings:
     """Everything a run of the jobs needs to know."""
 
     intervals: tuple[str, ...] = INTERVALS
+    series: tuple[str, ...] = ()
     load: LoadConfig = LoadConfig()
     features: FeatureConfig = FeatureConfig()
     policy: ScalingPolicy = ScalingPolicy()
@@ -140,7 +141,7 @@ class Settings:
             raise ValueError(f"unknown settings: {sorted(unknown)}")
         given = {}
         for name, value in values.items():
-            if name == "intervals":
+            if name in ("intervals", "series"):
                 given[name] = tuple(value)
             else:
                 if "outages" in value:

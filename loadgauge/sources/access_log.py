@@ -75,9 +75,9 @@ def _reason() -> Column:
     return F.when(F.col("_f").isNull(), NO_MATCH).when(F.col("_bytes").isNull(), BAD_BYTES)
 
 
-def rejects(lines: DataFrame, value: str = "value") -> DataFrame:
+def rejects(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """The lines :func:`parse_lines` leaves out, with the reason."""
-    return _fields(lines, value).select(F.col(value), _reason().alias("reason")).filter(F.col("reason").isNotNull())
+    return _fields(lines, value).select(*keep, F.col(value), _reason().alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def line_measures() -> list[Column]:

@@ -1,6 +1,7 @@
 """All jobs in a row, from text logs to the savings report."""
 
 import json
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -108,3 +109,38 @@ def test_requests_for_what_is_not_stored_are_errors(spark, tmp_path):
     # One bucket has no row of the other model.
     jobs.simulate(spark, root, "15min", "naive")
     assert spark.read.parquet(f"{root}/backtest/15min").select("ds").distinct().count() == 3
+
+
+def test_series_of_a_log_in_folders(spark, tmp_path, small):
+    """Two servers, one of them with half the requests and a day later: everything is per server, and as if each were alone."""
+    root, settings = str(tmp_path), replace(SETTINGS, series=("server",), intervals=("15min",))
+    lines = A.events_lines(spark, small).select("event_id", "value")
+    for part, where in ((jobs.TRAIN, "event_id < 700"), (jobs.TEST, "event_id >= 700")):
+        for server, share in (("web1", 1), ("7", 2)):
+            lines.filter(f"{where} AND event_id % {share} = 0").select("value").write.text(f"{root}/in/{part}/server={server}")
+        counts = jobs.parse(spark, f"{root}/in/{part}", root, part, settings)
+        assert counts["parsed"] == (1050 if part == jobs.TRAIN else 450)
+        jobs.aggregate(spark, root, part, settings)
+    log = jobs.access_log(spark, root, jobs.TRAIN, settings)
+    assert log.columns == ["server", *TB.ACCESS_LOG.names] and log.schema["server"].dataType.simpleString() == "string"
+    stored = jobs.load_table(spark, root, jobs.TRAIN, "15min", settings)
+    for server in ("web1", "7"):
+        alone = B.clean_load(B.load_by_interval(log.filter(F.col("server") == server), "15min", [], SETTINGS.load), SETTINGS.load)
+        assert sorted(map(tuple, stored.filter(F.col("server") == server).drop("server").collect())) == sorted(map(tuple, alone.collect()))
+    jobs.build_features(spark, root, settings)
+    jobs.train(spark, root, settings)
+    board = jobs.evaluate(spark, root, settings)
+    assert board.count() == 6 and board.filter("rmse IS NULL").count() == 0
+    plan, _ = jobs.recommend(spark, root, "15min", "lstm", 10, settings)
+    assert {(r.server, r["count"]) for r in plan.groupBy("server").count().collect()} == {("web1", 10), ("7", 10)}
+    savings = jobs.simulate(spark, root, "15min", "naive", settings)
+    assert {r.server for r in savings.collect()} == {"web1", "7"}
+    jobs.register_views(spark, root, settings)
+    rows = spark.sql("SELECT server, strategy, sum(y) AS y FROM backtest WHERE interval = '15min' GROUP BY ALL").collect()
+    assert len(rows) == 4 and spark.sql("SELECT * FROM finance").count() == 4 and spark.sql("SELECT * FROM leaderboard").count() == 6
+
+
+def test_a_log_without_the_series_folders_is_an_error(spark, tmp_path):
+    spark.range(1).selectExpr("'x' AS value").write.text(f"{tmp_path}/in")
+    with pytest.raises(ValueError, match="server="):
+        jobs.parse(spark, f"{tmp_path}/in", str(tmp_path), jobs.TRAIN, replace(SETTINGS, series=("server",)))

@@ -19,6 +19,8 @@ from .common import lower_ascii, or_empty
 
 #: Ways to match that a query tells apart, and characters of a class that are tried one by one; beyond, the part is left open.
 WAYS, CLASS = 64, 8
+#: Trigrams of a way that one mask holds.
+MASK = 63
 
 
 @dataclass(frozen=True)
@@ -90,10 +92,24 @@ def _ways_of(op, value) -> list[tuple]:
     return open_
 
 
+def _masks(queries: dict[str, list[frozenset[str]]]) -> int:
+    """How many masks the way with the most trigrams needs."""
+    return max([1, *(-(-len(way) // MASK) for ways in queries.values() for way in ways)])
+
+
 def _query_table(spark: SparkSession, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
-    """(kind, way, trigram, bit, full): one bit for each trigram of a way; a row count fixed by the rules."""
+    """(kind, way, trigram, bit0, full0, bit1, ...): one bit for each trigram of a way, in as many masks as the longest way needs; a row count fixed by the rules."""
+    masks = range(_masks(queries))
+
+    def bits(value: int) -> list[Column]:
+        return [F.lit(value >> (MASK * m) & ((1 << MASK) - 1)).cast("long") for m in masks]
+
     rows = [
-        F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("way"), F.lit(t).alias("trigram"), F.lit(1 << b).cast("long").alias("bit"), F.lit((1 << len(way)) - 1).cast("long").alias("full"))
+        F.struct(
+            F.lit(kind).alias("kind"), F.lit(i).alias("way"), F.lit(t).alias("trigram"),
+            *[c.alias(f"bit{m}") for m, c in enumerate(bits(1 << b))],
+            *[c.alias(f"full{m}") for m, c in enumerate(bits((1 << len(way)) - 1))],
+        )
         for kind, ways in queries.items() for i, way in enumerate(ways) for b, t in enumerate(sorted(way))
     ]
     return spark.range(1).select(F.inline(F.array(*rows)))
@@ -109,7 +125,9 @@ def trigram_index(docs: DataFrame, trigrams: list[str], text: str, doc_id: str)
 def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
     """(id, kinds): the rules whose query the document's postings satisfy."""
     wanted = index.join(F.broadcast(_query_table(index.sparkSession, queries)), "trigram")
-    met = wanted.groupBy("id", "kind", "way").agg(F.bit_or("bit").alias("bits"), F.first("full").alias("full")).where("bits = full")
+    masks = range(_masks(queries))
+    seen = [a for m in masks for a in (F.bit_or(f"bit{m}").alias(f"bits{m}"), F.first(f"full{m}").alias(f"full{m}"))]
+    met = wanted.groupBy("id", "kind", "way").agg(*seen).where(" AND ".join(f"bits{m} = full{m}" for m in masks))
     return met.groupBy("id").agg(F.collect_set("kind").alias("kinds"))
 
 

@@ -7,7 +7,7 @@ import pytest
 
 from loadgauge.llm import chat_format as chat
 from loadgauge.llm.decontaminate import contamination, drop_contaminated, remove_spans
-from loadgauge.llm.secret_scan import BASE, RULES, Rule, secret_spans, trigram_query
+from loadgauge.llm.secret_scan import BASE, RULES, Rule, candidates, secret_spans, trigram_index, trigram_query
 
 TEXTS = [
     None, "", "token=abc", "Password: 'hunter2hunter2' end", "API_KEY = \"abcdefgh\" apikey=12345678", "token=api_key: abcdefghij", "token=secret=abcdefgh12",
@@ -33,6 +33,21 @@ def test_secret_spans_equal_brute_force(docs_of, empty):
     assert secret_spans(empty).count() == 0
 
 
+@pytest.mark.parametrize("digits", [21, 22, 43, 60])
+def test_rules_of_more_trigrams_than_a_mask_holds(docs_of, digits):
+    """63, 66, 129 and 180 trigrams: only a text that has all of them is a candidate, whichever one another text lacks."""
+    literal = "".join(f"{i:02d}x" for i in range(digits)) + "yz"
+    rule = Rule("long", literal)
+    (need,) = trigram_query(rule.pattern)
+    assert len(need) == 3 * digits
+    texts = [f"a {literal} b", literal[1:], literal[:-1], literal.replace("10x", "10-"), None]
+    docs, queries = docs_of(texts), {"long": [need], "short": trigram_query("token")}
+    met = candidates(trigram_index(docs, sorted(need | queries["short"][0]), "text", "doc_id"), queries)
+    assert [tuple(r) for r in met.collect()] == [(0, ["long"])]
+    got = {r[0]: [(x.start, x.end) for x in r.spans] for r in secret_spans(docs, (rule,)).select("row.doc_id", "spans").collect()}
+    assert got == {0: [(2, 2 + len(literal))], 1: [], 2: [], 3: [], 4: []}
+
+
 def test_repeated_and_null_ids_are_searched_by_themselves(table):
     got = secret_spans(table([(1, "token=abcdefgh", "s"), (1, "nothing", "s"), (None, "x token=abcdefgh", "s"), (None, None, "s")]))
     assert sorted((r.row.text or "", len(r.spans)) for r in got.collect()) == [("", 0), ("nothing", 0), ("token=abcdefgh", 1), ("x token=abcdefgh", 1)]

@@ -804,6 +804,20 @@ def stream_fill(spark, d):
     return rounded(SL.run_available(SL.stream_fill(_as_stream(closed, "load-stream"), INTERVAL, SITE, CFG), "stream-fill"))
 
 
+@query
+def stream_late(spark, d):
+    """Two deliveries of the log: the hosts of every fiftieth user come after the rest, and are late but for the last buckets."""
+    log = A.events_log(spark, d)
+    behind = F.substr("host", F.lit(2)).cast("long") % 50 == 0
+    source, load_out, load_state, all_out, all_state = (new_path(spark, f"late-{x}") for x in ("log", "load", "load-state", "all", "all-state"))
+    for delivery in (log.filter(~behind), log.filter(behind)):
+        delivery.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(log.schema).parquet(source)
+        loaded = SL.run_available(SL.stream_load(stream, INTERVAL, SITE, "10 minutes", CFG), "late-load", load_out, load_state)
+        received = SL.run_available(SL.stream_received(stream, INTERVAL, SITE), "late-all", all_out, all_state)
+    return SL.load_account(received, loaded, INTERVAL, SITE, "10 minutes")
+
+
 def _on_time(made: DataFrame, name: str) -> DataFrame:
     return rounded(ST.split_late(SL.run_available(made, name))[0])
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import LoadConfig, interval_minutes
 from ..functions import load as L
-from ..functions.timegrid import minute_index
+from ..functions.timegrid import left_edge, minute_index, to_timestamp
 from ..operators import buckets as B
 from ..session import new_path
 
@@ -41,6 +41,36 @@ def stream_load(
     return B.measures(counts.select(*keys, edge.alias("_edge"), *B.COUNTS), keys, cfg)
 
 
+def stream_received(log: DataFrame, interval: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Requests per bucket and micro-batch, none left out: (series, ds, y, last), ``last`` being the latest second of them.
+
+    Run it beside :func:`stream_load` on the same source.  The rows of a micro-batch share their time of arrival, which is the event
+    time here, so that state holds the buckets of one micro-batch only.
+    """
+    edge = left_edge(minute_index(F.col("timestamp")), interval_minutes(interval))
+    timed = log.filter(F.col("timestamp").isNotNull()).withColumns({"_edge": edge, "_arrived": F.current_timestamp()})
+    counts = timed.withWatermark("_arrived", "0 seconds").groupBy("_arrived", *keys, "_edge")
+    made = counts.agg(F.count("request").alias("y"), F.max(F.date_trunc("second", "timestamp").cast("timestamp_ntz")).alias("last"))
+    return made.select(*keys, to_timestamp(F.col("_edge")).alias("ds"), "y", "last")
+
+
+def load_account(received: DataFrame, loaded: DataFrame, interval: str, keys: Sequence[str] = (), delay: str = "10 minutes") -> DataFrame:
+    """(series, ds, received, loaded, late, still_open): where each bucket's requests went; late + loaded + open = received.
+
+    ``received`` and ``loaded`` are what :func:`stream_received` and :func:`stream_load` have written of the same source.  Requests of a
+    bucket that the watermark had closed before they came are late; those of buckets it has not closed are open.
+    """
+    keys, no = list(keys), F.lit(0).cast("long")
+    watermark = received.agg((F.max("last") - F.expr(f"INTERVAL {delay}")).alias("at")).scalar()
+    both = received.select(*keys, "ds", F.col("y").alias("received"), no.alias("loaded")).unionByName(
+        loaded.select(*keys, "ds", no.alias("received"), F.col("y").alias("loaded"))
+    )
+    sums = both.groupBy(*keys, "ds").agg(F.sum("received").alias("received"), F.sum("loaded").alias("loaded"))
+    closed = F.col("ds") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(interval_minutes(interval))) <= watermark
+    missing = F.col("received") - F.col("loaded")
+    return sums.withColumns({"late": F.when(closed, missing).otherwise(no), "still_open": F.when(closed, no).otherwise(missing)})
+
+
 def _fill(keys: list[str], minutes: int):
     """State: the minute of the last bucket seen."""
 

@@ -434,6 +434,17 @@ SQL["stream_load"] = select(
     body=f"""SELECT site, ds, {X.LOAD_OUT} FROM load
 WHERE y > 0 AND ds + INTERVAL 15 MINUTE <= (SELECT max("timestamp") FROM log) - INTERVAL 10 MINUTE""",
 )
+SQL["stream_late"] = select(
+    LOG,
+    """marked AS (
+  SELECT site, time_bucket(INTERVAL '15 minutes', "timestamp") AS ds, "timestamp" AS moment, CAST(substr(host, 2) AS BIGINT) % 50 = 0 AS behind FROM log)""",
+    "ends AS (SELECT max(moment) FILTER (WHERE NOT behind) - INTERVAL 10 MINUTE AS first_end, max(moment) - INTERVAL 10 MINUTE AS last_end FROM marked)",
+    """judged AS (
+  SELECT site, ds, coalesce(behind AND ds + INTERVAL 15 MINUTE <= first_end, FALSE) AS late, ds + INTERVAL 15 MINUTE <= last_end AS closed FROM marked, ends)""",
+    body="""SELECT site, ds, count(*) AS received, count(*) FILTER (WHERE closed AND NOT late) AS loaded, count(*) FILTER (WHERE late) AS late,
+       count(*) FILTER (WHERE NOT closed) AS still_open
+FROM judged GROUP BY site, ds""",
+)
 SQL["stream_fill"] = select(
     *LOADED,
     """closed AS (

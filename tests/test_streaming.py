@@ -146,6 +146,28 @@ def test_anomalies_and_backtests_under_late_rows(spark):
     assert too_late.count() == len(late)
 
 
+def test_late_requests_are_accounted_for(spark):
+    """Late, loaded and open requests are all requests, also of buckets that only late ones are in and of a NULL series."""
+    t0, schema = datetime(2024, 1, 1), "site int, timestamp timestamp_ntz, request string, status int, bytes bigint"
+    deliveries = [
+        [(0, 0), (0, 1), (0, 40), (None, 2)],  # the watermark goes to 00:30
+        [(0, 5), (None, 16), (0, 31), (0, 70)],  # 5 and 16 are in closed buckets
+        [(0, 50), (1, 3), (0, 71)],  # now it stood at 01:00
+    ]
+    source, a, a_state, b, b_state = (new_path(spark, f"account-{x}") for x in range(5))
+    for minutes in deliveries:
+        rows_ = [(s, t0 + timedelta(minutes=m, seconds=1), "GET /", 200, 1) for s, m in minutes]
+        spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        loaded = SL.run_available(SL.stream_load(stream, "15min", ["site"]), "a", a, a_state)
+        received = SL.run_available(SL.stream_received(stream, "15min", ["site"]), "b", b, b_state)
+    got = {(r.site, (r.ds - t0).seconds // 60): (r.received, r.loaded, r.late, r.still_open) for r in SL.load_account(received, loaded, "15min", ["site"]).collect()}
+    assert got == {
+        (0, 0): (3, 2, 1, 0), (0, 30): (2, 2, 0, 0), (0, 45): (1, 0, 1, 0), (0, 60): (2, 0, 0, 2),
+        (None, 0): (1, 1, 0, 0), (None, 15): (1, 0, 1, 0), (1, 0): (1, 0, 1, 0),
+    }
+
+
 def test_load_does_not_depend_on_the_session_zone(spark):
     """An hour that New York skipped in 2024 is an hour like any other in the log."""
     log = spark.sql(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -65,6 +65,34 @@ def long_gaps(edges: DataFrame, keys: Sequence[str], cfg: LoadConfig = LoadConfi
     return spans(edges, keys, cfg.max_gap_days).groupBy(*keys).agg(F.count(F.lit(1)).alias("stretches")).filter("stretches > 1")
 
 
+def empty_edges(edges: DataFrame, keys: Sequence[str], max_gap_days: int, spread: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(series, width, _edge): the buckets of the grid (:func:`spans`) that no ``_edge`` falls in, at every width ``spread`` adds to a row.
+
+    Only what is missing is made, between the edges of a day and between the days of a series, and nothing has to hold it afterwards: what
+    a task keeps grows with the rows of ``edges``, not with the grid, which has many times as many when series are sparse.
+    """
+    width, found, days = F.col("width").cast("long"), F.col("_edges"), F.col("_days")
+    by_day = edges.groupBy(*keys, left_edge(F.col("_edge"), DAY).alias("_day")).agg(F.array_sort(F.collect_set("_edge")).alias("_edges"))
+    ends = F.struct(F.col("_day").alias("day"), F.element_at(found, 1).alias("first"), F.element_at(found, -1).alias("last"))
+    by_series = by_day.groupBy(*keys).agg(F.array_sort(F.collect_list(ends)).alias("_days"))
+
+    there = F.transform(found, lambda e: left_edge(e, width))
+    within = F.array_except(F.sequence(F.element_at(there, 1), F.element_at(there, -1), width), there)
+    inside = spread(by_day).withColumn("_edge", F.explode(within))
+
+    pairs = F.greatest(F.size(days) - 1, F.lit(0))
+    steps = F.zip_with(F.slice(days, F.lit(1), pairs), F.slice(days, F.lit(2), pairs), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    a, b = F.col("_s.a"), F.col("_s.b")
+    after, before = left_edge(a["last"], width) + width, left_edge(b["first"], width) - width
+    far = b["day"] - a["day"] > F.lit((max_gap_days + 1) * DAY)
+    run = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
+    runs = F.when(far, F.array(run(after, a["day"] + F.lit(DAY) - width), run(b["day"], before))).otherwise(F.array(run(after, before)))
+    between = spread(by_series.withColumn("_s", F.explode(steps))).withColumn("_r", F.explode(runs)).filter("_r.lo <= _r.hi")
+    bounds = between.withColumns({"_lo": F.col("_r.lo"), "_hi": F.col("_r.hi")})
+    made = spine(bounds, keys, width)
+    return made.select(*inside.drop("_day", "_edges").columns).unionByName(inside.drop("_day", "_edges"))
+
+
 def spine(bounds: DataFrame, keys: Sequence[str], minutes: Column) -> DataFrame:
     """Every bucket edge from ``_lo`` to ``_hi``, in two steps so that no row holds a long array."""
     width = minutes.cast("long")
@@ -125,18 +153,12 @@ def load_all_intervals(
     def spread(df: DataFrame) -> DataFrame:
         return df.withColumn("_i", F.explode(options)).select("*", "_i.interval", "_i.width").drop("_i")
 
-    filled = spread(base).withColumn("_edge", left_edge(F.col("_edge"), width))
-    bounds = spread(spans(base, keys, cfg.max_gap_days))
-    bounds = bounds.withColumns({"_lo": left_edge(F.col("_lo"), width), "_hi": left_edge(F.col("_hi"), width)})
-    empty = spine(bounds, keys, width)
-    zeros = empty.withColumns({c: F.lit(0).cast("long") for c in COUNTS})
     group = [*keys, "interval"]
-    counts = (
-        filled.select(*group, "_edge", *COUNTS)
-        .unionByName(zeros.select(*group, "_edge", *COUNTS))
-        .groupBy(*group, "_edge")
-        .agg(*[F.sum(c).alias(c) for c in COUNTS])
-    )
+    counts = spread(base).withColumn("_edge", left_edge(F.col("_edge"), width)).select(*group, "_edge", *COUNTS)
+    if set(widths.values()) != {finest}:
+        counts = counts.groupBy(*group, "_edge").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    zeros = empty_edges(base, keys, cfg.max_gap_days, spread).withColumns({c: F.lit(0).cast("long") for c in COUNTS})
+    counts = counts.unionByName(zeros.select(*group, "_edge", *COUNTS))
     return measures(counts, group, cfg)
 
 

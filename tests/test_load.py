@@ -87,6 +87,46 @@ def test_the_log_is_scanned_once(spark, small, keys):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_nothing_holds_the_grid_of_sparse_series(spark, small):
+    """What is missing is made last, so no aggregate, sort or exchange has the grid's rows."""
+    load = B.load_by_interval(A.events_log(spark, small), "60min", ["host"], LoadConfig(max_gap_days=1))
+    above, _, below = final_plan(load).partition("Union")
+    assert not any(step in above for step in ("Aggregate", "Exchange", "Sort")) and "Generate" in below
+
+
+def expected_grid(rows, width, gap_days):
+    """(series, minute, requests, bytes) of every bucket, made in Python."""
+    out, series = set(), {s for s, *_ in rows}
+    for s in series:
+        minutes = sorted(int((t - datetime(1970, 1, 1)).total_seconds()) // 60 for x, t, _, _ in rows if x == s)
+        days = sorted({m - m % 1440 for m in minutes})
+        edges = {m - m % width for m in (minutes[0], minutes[-1])}
+        for a, b in zip(days, days[1:]):
+            edges |= set(range(a, a + 1440, width)) if b - a > (gap_days + 1) * 1440 else set(range(a, b, width))
+        edges |= set(range(days[-1], days[-1] + 1440, width))
+        for e in edges:
+            if minutes[0] - minutes[0] % width <= e <= minutes[-1]:
+                inside = [b for x, t, _, b in rows if x == s and 0 <= int((t - datetime(1970, 1, 1)).total_seconds()) // 60 - e < width]
+                out.add((s, e, len(inside), sum(inside)))
+    return out
+
+
+@pytest.mark.parametrize("intervals", [["60min"], ["30min", "20min"], ["5min", "15min", "60min"]])
+def test_every_bucket_of_the_grid_is_there_once(spark, intervals):
+    """Requests at the first and last minute of days, twice at once, before 1970, of a null series, with gaps just within and beyond the limit."""
+    at = lambda d, h=0, m=0: datetime(2024, 1, 1) + timedelta(days=d, hours=h, minutes=m)
+    times = {
+        0: [at(0, 23, 59), at(0, 23, 59), at(1), at(3, 12, 1), at(6, 7, 29), at(6, 23, 59)], 1: [at(0), at(20)], 2: [at(5, 5, 5)],
+        3: [datetime(1969, 12, 30, 23, 59), datetime(1970, 1, 1, 0, 1)], None: [at(0, 3), at(0, 3, 59), at(2, 1), at(9), at(9, 0, 20)],
+    }
+    rows = [(s, t, 200, 10 * i + 1) for s, ts in times.items() for i, t in enumerate(ts)]
+    for gap in (1, 30):
+        got = B.load_all_intervals(log(spark, rows), intervals, ["site"], LoadConfig(max_gap_days=gap))
+        got = got.select("interval", "site", minute_index(F.col("ds")).alias("e"), "y", "total_bytes").collect()
+        want = {(i, *r) for i in intervals for r in expected_grid(rows, interval_minutes(i), gap)}
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
 def test_only_needed_columns_are_read(spark, small):
     plan = final_plan(B.load_by_interval(A.events_log(spark, small), "15min", ["site"]))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in plan

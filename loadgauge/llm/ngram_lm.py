@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import new_path
-from .common import WordHashes, or_empty, pieces
+from .common import or_empty, pieces
 
 #: Tokens counted before a task sends them on, tokens of a bucket, bytes of text per bucket of the word table, and files a scorer keeps open.
 FLUSH, BUCKET, WORD_BUCKET_BYTES, OPEN_FILES = 2_000_000, 2_000_000, 64 << 20, 1024
@@ -151,22 +151,34 @@ def _unpack(data: bytes, columns: int) -> list[np.ndarray]:
 
 
 def _in_order(columns: list[np.ndarray], counts: np.ndarray, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct rows in order, and the sums of their counts. Columns that fit into one number are sorted as one."""
+    """The distinct rows in order, and the sums of their counts. Columns are sorted as one number, those in front by their rank where they are too wide."""
     if not len(counts):
         return columns, counts
-    if len(columns) * bits <= 64:
-        key = columns[0]
-        for c in columns[1:]:
-            key = (key << _U(bits)) | c
-        order = np.argsort(key)
-        changed = key[order][1:] != key[order][:-1]
-    else:
-        order = np.lexsort(columns[::-1])
-        changed = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
-    first = np.flatnonzero(np.concatenate(([True], changed)))
+    key, width = columns[0], bits
+    for c in columns[1:]:
+        if width + bits > 64:
+            fresh, back = _distinct(key)
+            key, width = back.astype(np.uint64), len(fresh).bit_length()
+        key, width = (key << _U(bits)) | c, width + bits
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     return [c[order[first]] for c in columns], np.add.reduceat(counts[order], first)
 
 
+def _counted(columns: list[np.ndarray], bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows in order, and how often each occurs."""
+    if len(columns) * bits > 64 or not len(columns[0]):
+        return _in_order(columns, np.ones(len(columns[0]), np.int64), bits)
+    key = columns[0]
+    for c in columns[1:]:
+        key = (key << _U(bits)) | c
+    key = np.sort(key)
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    counts, key = np.diff(np.append(first, len(key))), key[first]
+    return [(key >> _U(i * bits)) & _U((1 << bits) - 1) for i in reversed(range(len(columns)))], counts
+
+
 def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """The distinct keys in order, and the sums of the values of each."""
     order = np.argsort(keys)
@@ -175,20 +187,46 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], *[np.add.reduceat(v[order], first) if len(first) else v[:0] for v in values]
 
 
-def _token_arrays(batches: Iterator[pa.RecordBatch], starts: bool) -> Iterator[np.ndarray]:
-    """Word hashes of whole texts, each with its end, and with its start if ``starts``; about FLUSH tokens at a time."""
-    words, held, n = WordHashes(300_000), [], 0
-    head = [START] if starts else []
+def _tokens(texts: list[bytes], starts: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct word hashes in order; which of these each token is, every text with its end, and with its start if ``starts``; each text's words."""
+    flat = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
+    # Not a blank, nor one of the five bytes from the tab on. The last byte is white, so edges come in pairs.
+    inside = (flat - np.uint8(9) > 4) & (flat != 32)
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    offsets = np.zeros(len(edges) // 2 + 1, np.int32)
+    np.cumsum(edges[1::2] - edges[::2], out=offsets[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(flat[inside])]).dictionary_encode()
+    _, ends, body = words.dictionary.buffers()
+    kinds, body = np.frombuffer(ends or b"", np.int32)[: len(words.dictionary) + 1].tolist(), body.to_pybytes() if body else b""
+    # Cut here, as to_pylist takes several times as long.
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(body[i:j]) for i, j in zip(kinds, kinds[1:])), np.uint64, len(words.dictionary))
+    hashes = np.concatenate((hashes, [END, START] if starts else [END]))
+    order = np.argsort(hashes)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    sizes = np.diff(np.searchsorted(edges[::2], np.cumsum([len(t) + 1 for t in texts])), prepend=0)
+    # Words move back by the starts and ends before them.
+    more = 2 if starts else 1
+    out = np.full(offsets.size - 1 + more * len(texts), rank[len(words.dictionary)])
+    out[np.arange(offsets.size - 1) + np.repeat(np.arange(len(texts)) * more + more - 1, sizes)] = rank[words.indices.to_numpy()]
+    if starts:
+        out[np.cumsum(sizes + 2) - sizes - 2] = rank[-1]
+    return hashes[order], out, sizes
+
+
+def _token_arrays(batches: Iterator[pa.RecordBatch], starts: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word hashes, which may repeat, and which of these each token of whole texts is; about FLUSH tokens at a time."""
+    hashes, held, n, kinds = [], [], 0, 0
     for batch in pieces(batches, "text"):
-        for text in batch.column("text").to_pylist():
-            w = text.lower().split()
-            held.append(np.array([*head, *map(words.__getitem__, w), END], np.uint64))
-            n += len(w) + 1
-            if n >= FLUSH:
-                yield np.concatenate(held)
-                held, n = [], 0
+        h, at, _ = _tokens(batch.column("text").to_pylist(), starts)
+        hashes.append(h)
+        held.append(at + kinds)
+        n, kinds = n + len(at), kinds + len(h)
+        if n >= FLUSH:
+            yield np.concatenate(hashes), np.concatenate(held)
+            hashes, held, n, kinds = [], [], 0, 0
     if held:
-        yield np.concatenate(held)
+        yield np.concatenate(hashes), np.concatenate(held)
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -316,8 +354,8 @@ def fit(docs: DataFrame, text: str = "text", order: int = 3) -> Model:
     nw = max(1, -(-size // WORD_BUCKET_BYTES))
 
     def count_words(batches):
-        for h in _token_arrays(batches, False):
-            keys, counts = np.unique(h, return_counts=True)
+        for h, at in _token_arrays(batches, False):
+            keys, counts = _sums(h, np.bincount(at, minlength=len(h)))
             yield _sent([(b, keys[rows].tobytes(), _packed(counts[rows])) for b, rows in _by_bucket(bucket_of(keys, nw))])
 
     def merge_words(key, table):
@@ -340,23 +378,29 @@ def fit(docs: DataFrame, text: str = "text", order: int = 3) -> Model:
     hot = np.unique(np.concatenate([np.array([start, none], np.uint64), *[np.frombuffer(r.hot, np.uint64) for r in found]]))
     n = max(1, -(-order * tokens // (2 * BUCKET)))
 
-    def numbered_texts(batches) -> Iterator[np.ndarray]:
+    def numbered_texts(batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Distinct numbers in order, and which of these each token is."""
         numbers = Numbers(folder, nw, set(word_buckets), special)
-        for h in _token_arrays(batches, True):
-            yield numbers(h)
+        for h, at in _token_arrays(batches, True):
+            known, back = np.unique(numbers(h), return_inverse=True)
+            yield known, back.astype(np.uint64)[at]
 
+    # The start has the greatest number of a text's; what is before it comes after.
     def count_pairs(batches):
-        for h in numbered_texts(batches):
-            inside = np.flatnonzero(h != start)
-            (v, w), counts = _in_order([h[inside - 1], h[inside]], np.ones(len(inside), np.int64), bits)
+        for known, h in numbered_texts(batches):
+            inside = np.flatnonzero(h != len(known) - 1)
+            (v, w), counts = _counted([h[inside - 1], h[inside]], len(known).bit_length())
+            v, w = known[v], known[w]
             yield _sent([(b, _pack([v[rows], w[rows]], counts[rows]), b"") for b, rows in _by_bucket(pair_bucket(v, w, hot, n))])
 
     def count_triples(batches):
-        for h in numbered_texts(batches):
-            inside = np.flatnonzero(h != start)
+        for known, h in numbered_texts(batches):
+            known = np.append(known, _U(none))
+            inside = np.flatnonzero(h != len(known) - 2)
             v, w = h[inside - 1], h[inside]
-            u = np.where(v == start, _U(none), h[inside - 2])
-            (u, v, w), counts = _in_order([u, v, w], np.ones(len(inside), np.int64), bits)
+            u = np.where(v == len(known) - 2, _U(len(known) - 1), h[inside - 2])
+            (u, v, w), counts = _counted([u, v, w], len(known).bit_length())
+            u, v, w = known[u], known[v], known[w]
             yield _sent([(b, _pack([u[rows], v[rows], w[rows]], counts[rows]), b"") for b, rows in _by_bucket(triple_bucket(u, v, w, hot, n))])
 
     def merge_triples(key, table):
@@ -474,11 +518,13 @@ def _stats(held: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
 def _places(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Where each wanted value stands or would stand among values[low:high], which are in order."""
     low, high = low.copy(), high.copy()
-    while np.any(low < high):
-        middle = (low + high) // 2
-        less = (low < high) & (values[np.minimum(middle, len(values) - 1)] < wanted)
-        high = np.where((low < high) & ~less, middle, high)
-        low = np.where(less, middle + 1, low)
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) // 2
+        less = values[middle] < wanted[open_]
+        low[open_[less]] = middle[less] + 1
+        high[open_[~less]] = middle[~less]
+        open_ = open_[low[open_] < high[open_]]
     return low
 
 
@@ -500,7 +546,7 @@ class Scorer:
     """Log probabilities from the mapped arrays."""
 
     def __init__(self, model: Model):
-        self.m, self.words, self.files = model, WordHashes(300_000), {}
+        self.m, self.files = model, {}
         self.start, _, self.unknown = model.numbers
         self.known = {"words": set(model.word_buckets), "pairs": set(model.pair_buckets), "triples": set(model.triple_buckets), "often": set(model.often_buckets)}
         self.known["continuations"] = self.known["words"]
@@ -587,47 +633,47 @@ class Scorer:
         found[rows[there]] = held["count"][place[there]]
 
     @staticmethod
-    def _step(counts: np.ndarray, stats: np.ndarray, d: tuple[float, float, float], lower: np.ndarray) -> np.ndarray:
-        """Probabilities from the discounted counts after a history, and what the discounts leave to the lower order."""
+    def _left(stats: np.ndarray, d: tuple[float, float, float]) -> tuple[np.ndarray, np.ndarray]:
+        """How many tokens follow a history, at least 1, and what the discounts leave to the lower order."""
         total = np.maximum(stats[:, 0], 1)
-        left = np.where(stats[:, 0] > 0, stats[:, 1:] @ np.array(d) / total, 1.0)
-        return np.maximum(counts - discount_of(counts, d), 0) / total + left * lower
+        return total, np.where(stats[:, 0] > 0, stats[:, 1:] @ np.array(d) / total, 1.0)
 
     def score(self, texts: list[bytes]) -> dict[str, np.ndarray]:
         m = self.m
-        rows = [np.array([START, *map(self.words.__getitem__, t.lower().split()), END], np.uint64) for t in texts]
-        sizes = np.array([len(r) - 1 for r in rows])
-        hashes = np.concatenate(rows)
-        at, place = _distinct(hashes)
-        unique = hashes[at]
+        unique, place, sizes = _tokens(texts, True)
+        sizes = sizes + 1
         counts, continued, numbers = self.word_tables(unique)
         inside = np.ones(len(place), bool)
         inside[np.cumsum(sizes + 1) - sizes - 1] = False
         inside = np.flatnonzero(inside)
         base = np.log10((counts + 1) / (m.tokens + m.words + 1))
-        alone = m.unseen_mass / (m.words + 1)
+        alone = np.full(len(unique), m.unseen_mass / (m.words + 1))
         if m.pairs:
             alone = alone + np.maximum(continued - discount_of(continued, m.word_discounts), 0) / m.pairs
-        p = np.broadcast_to(alone, unique.shape)[place[inside]]
-        flat = numbers[place]
-        v, w = flat[inside - 1], flat[inside]
-        at, back = _distinct(v)
-        stats = self.before(v[at])[back]
+        at, back = _distinct(numbers)
+        total, left = (x[back] for x in self._left(self.before(numbers[at]), m.pair_discounts))
+        before, this = place[inside - 1], place[inside]
+        v, w = numbers[before], numbers[this]
+        # The probability of a word is the same wherever the words before it are; so each distinct one is worked out once.
         keys = mixed(v, w)
         at, of = _distinct(keys)
-        first, second, keys = v[at], w[at], keys[at]
+        first, second, keys, before, this_word = v[at], w[at], keys[at], before[at], this[at]
         pairs = self.pairs(first, second, keys)
-        p = self._step(pairs.counts[of], stats, m.pair_discounts, p)
+        p = np.maximum(pairs.counts - discount_of(pairs.counts, m.pair_discounts), 0) / total[before] + left[before] * alone[this_word]
+        log_p = np.log10(p)[of]
         if m.order == 3:
+            total, left = self._left(pairs.stats, m.triple_discounts)
             later = np.flatnonzero(v != self.start)
             history, w = of[later - 1], w[later]
             # In order of the histories, so that files are read in order.
-            at, back = _distinct((history.astype(np.uint64) << _U(40)) ^ w)
-            c = self.triple_counts(pairs, history[at], keys, w[at], second, first)[back]
-            p[later] = self._step(c, pairs.stats[history], m.triple_discounts, p[later])
+            at, back = _distinct((history.astype(np.uint64) << _U(self.unknown.bit_length())) | w)
+            history, lower = history[at], p[of[later[at]]]
+            c = self.triple_counts(pairs, history, keys, w[at], second, first)
+            p = np.maximum(c - discount_of(c, m.triple_discounts), 0) / total[history] + left[history] * lower
+            log_p[later] = np.log10(p)[back]
         starts = np.cumsum(sizes) - sizes
         add = lambda x: np.add.reduceat(x, starts)
-        return {"n_tokens": sizes, "n_known": add((counts > 0)[place[inside]].astype(np.int64)), "base_score": add(base[place[inside]]), "score": add(np.log10(p))}
+        return {"n_tokens": sizes, "n_known": add((counts > 0).astype(np.int64)[this]), "base_score": add(base[this]), "score": add(log_p)}
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -44,6 +44,38 @@ def plain_model(texts):
     return c, n, v, p
 
 
+def test_tokens_are_the_words_in_order():
+    """Each distinct word is hashed once; blanks of all kinds, other control and multi-byte characters, texts without words."""
+    odd = "a\tB\x0bc\x0cD\re\x00f\x08g\x0eh\x1ci\x85j\u00a0k\u2003l ÄÖ \x7f"
+    batches = [["", " \n "], ["x"], [" The  the\nTHE end ", "", odd, "x" * 70_000 + " y", "the a"], [""]]
+    for texts in batches:
+        for starts in (False, True):
+            hashes, at, sizes = ngram_lm._tokens([t.encode() for t in texts], starts)
+            words = [t.encode().lower().split() for t in texts]
+            mark = [ngram_lm.START] if starts else []
+            want = [x for w in words for x in [*mark, *map(ngram_lm.xxhash.xxh3_64_intdigest, w), ngram_lm.END]]
+            assert hashes[at].tolist() == want and sizes.tolist() == [len(w) for w in words]
+            assert hashes.tolist() == sorted(set(want))
+
+
+@pytest.mark.parametrize("bits", [10, 21, 23, 40])
+def test_rows_are_put_in_order_as_single_numbers(monkeypatch, bits):
+    """Also columns that do not fit into one number together; sorts over several columns take several times as long."""
+    monkeypatch.delattr(ngram_lm.np, "lexsort")
+    rng = np.random.default_rng(bits)
+    kinds = rng.integers(0, 1 << bits, (3, 9), np.uint64)
+    kinds[:, 0] = (1 << bits) - 1
+    columns = [k[rng.integers(0, 9, 5_000)] for k in kinds]
+    rows, counts = Counter(zip(*(c.tolist() for c in columns))), rng.integers(1, 5, 5_000)
+    sums = Counter()
+    for *row, k in zip(*(c.tolist() for c in columns), counts.tolist()):
+        sums[tuple(row)] += k
+    for want, (made, n) in ((rows, ngram_lm._counted(columns, bits)), (sums, ngram_lm._in_order(columns, counts, bits))):
+        assert list(zip(*(c.tolist() for c in made), n.tolist())) == [(*row, want[row]) for row in sorted(want)]
+    none = np.zeros(0, np.uint64)
+    assert not len(ngram_lm._counted([none, none], bits)[1]) and not len(ngram_lm._in_order([none, none], none, bits)[1])
+
+
 @pytest.mark.parametrize("bucket", [2_000_000, 40])
 def test_scores_equal_a_plain_model(docs_of, monkeypatch, bucket):
     monkeypatch.setattr(ngram_lm, "BUCKET", bucket)
